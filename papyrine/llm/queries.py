@@ -6,19 +6,39 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from papyrine.llm import near_dedup
+from papyrine.llm import decontaminate, near_dedup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op5_decontaminate": op5_decontaminate,
     "op8_near_dedup": op8_near_dedup,
 }
 
-ORACLE: dict[str, str] = {}
+WORDS_SQL = "regexp_extract_all(lower({0}), '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+')"
+
+OP5_SQL = f"""
+WITH d AS (SELECT doc_id, {WORDS_SQL.format("text")} AS w FROM documents),
+b AS (SELECT DISTINCT item_id, {WORDS_SQL.format("text")} AS w FROM benchmark),
+dg AS (SELECT doc_id, p, array_to_string(w[p : p + 12], ' ') AS g FROM d, unnest(range(1, len(w) - 11)) AS t(p)),
+bg AS (SELECT item_id, p, array_to_string(w[p : p + 12], ' ') AS g FROM b, unnest(range(1, len(w) - 11)) AS t(p)),
+m AS (SELECT DISTINCT doc_id, item_id, dg.p AS dp, bg.p AS bp FROM dg JOIN bg USING (g)),
+s AS (SELECT *, dp - row_number() OVER (PARTITION BY doc_id, item_id, dp - bp ORDER BY dp) AS island FROM m)
+SELECT doc_id, item_id, CAST(min(dp) - 1 AS INT) AS doc_start, CAST(min(bp) - 1 AS INT) AS item_start, CAST(count(*) + 12 AS INT) AS n_words
+FROM s GROUP BY doc_id, item_id, dp - bp, island
+"""
+
+ORACLE: dict[str, str] = {
+    "op5_decontaminate": OP5_SQL,
+}

@@ -181,3 +181,31 @@ def signed(x: np.ndarray) -> np.ndarray:
 def lists(values: np.ndarray, firsts: np.ndarray, kind: pa.DataType) -> pa.Array:
     """A list array of values cut at firsts."""
     return pa.ListArray.from_arrays(pa.array(firsts.astype(np.int32), pa.int32()), pa.array(values, kind))
+
+
+def winnow(g: np.ndarray, firsts: np.ndarray, window: int) -> np.ndarray:
+    """Positions in g of the least gram (the last of equals) of every window of a row; a shorter row is one window."""
+    n = np.diff(firsts)
+    if not len(g):
+        return np.zeros(0, np.int64)
+    pad = np.concatenate([g, np.full(window - 1, ~U(0))])
+    best, at = pad[: len(g)].copy(), np.arange(len(g))
+    here = np.arange(len(g))
+    for j in range(1, window):
+        other = pad[j : len(g) + j]
+        take = other <= best
+        best[take] = other[take]
+        at[take] = here[take] + j
+    full = here + window <= np.repeat(firsts[1:], n)
+    chosen = np.zeros(len(g), dtype=bool)
+    chosen[at[full]] = True
+    for i in np.flatnonzero((n > 0) & (n < window)):
+        part = g[firsts[i] : firsts[i + 1]]
+        chosen[firsts[i + 1] - 1 - int(np.argmin(part[::-1]))] = True
+    return np.flatnonzero(chosen)
+
+
+def runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the runs of true."""
+    edge = np.diff(np.concatenate([[0], flags.astype(np.int8), [0]]))
+    return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
