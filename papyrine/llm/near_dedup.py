@@ -21,9 +21,9 @@ from papyrine.llm.common import cut, in_ids, near_groups, texts, unwrapped, wrap
 from papyrine.llm.text import U, grams, lists, minhashes, mix, signed, slices
 
 SHINGLE = 3
-SIDE = 7
+SIDE = 10
 HALF = 2
-THRESHOLD = 0.6
+THRESHOLD = 0.5
 SEED = 11
 
 
