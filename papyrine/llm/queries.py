@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from papyrine.llm import decontaminate, near_dedup, packing, substring_dedup, toxicity
+from papyrine.llm import decontaminate, near_dedup, packing, quality, sharding, substring_dedup, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +17,14 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.interleave(table(spark, sf_dir, "documents"))
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -35,6 +43,8 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_toxicity": op3_toxicity,
+    "op4_sharding": op4_sharding,
+    "op6_quality": op6_quality,
     "op5_decontaminate": op5_decontaminate,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_near_dedup": op8_near_dedup,
@@ -54,6 +64,14 @@ SELECT doc_id, item_id, CAST(min(dp) - 1 AS INT) AS doc_start, CAST(min(bp) - 1
 FROM s GROUP BY doc_id, item_id, dp - bp, island
 """
 
+OP4_SQL = """
+WITH r AS (SELECT doc_id, source, md5('42|' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+k AS (SELECT *, (2 * row_number() OVER (PARTITION BY source ORDER BY h, doc_id NULLS FIRST) - 1)::DOUBLE / (2 * count(*) OVER (PARTITION BY source))::DOUBLE AS frac FROM r),
+p AS (SELECT *, row_number() OVER (ORDER BY frac, source IS NOT NULL, coalesce(source, ''), h, doc_id NULLS FIRST) - 1 AS place, count(*) OVER () AS n FROM k)
+SELECT doc_id, source, CAST(place * 64 // n AS INT) AS shard, CAST(place - ceil((place * 64 // n) * n / 64) AS BIGINT) AS position FROM p
+"""
+
 ORACLE: dict[str, str] = {
+    "op4_sharding": OP4_SQL,
     "op5_decontaminate": OP5_SQL,
 }
