@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from papyrine.llm import decontaminate, near_dedup, packing, quality, sharding, substring_dedup, toxicity
+from papyrine.llm import ann, decontaminate, near_dedup, packing, quality, sharding, substring_dedup, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,6 +37,10 @@ def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op9_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.neighbours(table(spark, sf_dir, "embeddings"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -48,6 +52,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_decontaminate": op5_decontaminate,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_near_dedup": op8_near_dedup,
+    "op9_ann": op9_ann,
     "op10_packing": op10_packing,
 }
 
