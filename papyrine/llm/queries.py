@@ -6,13 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from papyrine.llm import ann, decontaminate, near_dedup, packing, quality, sharding, substring_dedup, toxicity
+from papyrine.llm import ann, decontaminate, html_wrappers, licenses, near_dedup, packing, quality, sharding, substring_dedup, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_wrappers.extract(table(spark, sf_dir, "pages"))
+
+
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -46,6 +54,8 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_html_extraction": op1_html_extraction,
+    "op2_license_scan": op2_license_scan,
     "op3_toxicity": op3_toxicity,
     "op4_sharding": op4_sharding,
     "op6_quality": op6_quality,
