@@ -46,6 +46,11 @@ def texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.xxhash64(text).alias("id"), text.alias("text"))
 
 
+def column(df: DataFrame, name: str) -> np.ndarray:
+    """A 64-bit column on the driver, without nulls."""
+    return df.select(F.col(name).cast("long").alias(name)).where(F.col(name).isNotNull()).toArrow().column(name).to_numpy()
+
+
 def in_ids(df: DataFrame, ids: DataFrame, key: str = "id", limit: int = FILTER_IDS, anti: bool = False) -> DataFrame:
     """Rows of df whose key is (with anti: is not) in ids.
 
@@ -54,7 +59,7 @@ def in_ids(df: DataFrame, ids: DataFrame, key: str = "id", limit: int = FILTER_I
     """
     spark = df.sparkSession
     ids = ids.select(F.col(ids.columns[0]).alias(key)).distinct()
-    head = ids.limit(limit + 1).toPandas()[key].to_numpy(dtype=np.int64)
+    head = column(ids.limit(limit + 1), key)
     if len(head) > limit:
         return df.join(ids, key, "left_anti" if anti else "left_semi")
     known = spark.sparkContext.broadcast(np.sort(head))
@@ -89,6 +94,21 @@ def _union_find(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         low = new
 
 
+def spread(spark: SparkSession, **cols: np.ndarray) -> DataFrame:
+    """A DataFrame of 64-bit columns that are on the driver: they are sent as a broadcast, not kept in the plan."""
+    names, shared = list(cols), spark.sparkContext.broadcast(list(cols.values()))
+    n = len(next(iter(cols.values())))
+    parts = 1 + n // 50_000
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in batch.column(0).to_pylist():
+                at = slice(k * n // parts, (k + 1) * n // parts)
+                yield pa.RecordBatch.from_arrays([pa.array(x[at], pa.int64()) for x in shared.value], names=names)
+
+    return spark.range(0, parts, 1, parts).mapInArrow(each, ", ".join(f"{c} long" for c in names))
+
+
 def components(edges: DataFrame, driver_edges: int = DRIVER_EDGES) -> DataFrame:
     """(id, label) for the ends of edges (a, b): label is the least id of the connected component.
 
@@ -100,9 +120,9 @@ def components(edges: DataFrame, driver_edges: int = DRIVER_EDGES) -> DataFrame:
     spark = edges.sparkSession
     e = cut(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct())
     if e.count() <= driver_edges:
-        ends = e.toPandas()
-        ids, label = _union_find(ends["a"].to_numpy(np.int64), ends["b"].to_numpy(np.int64))
-        return spark.createDataFrame(pa.table({"id": pa.array(ids, pa.int64()), "label": pa.array(label, pa.int64())}))
+        ends = e.toArrow()  # toPandas would make a Python object of every row
+        ids, label = _union_find(ends.column("a").to_numpy(), ends.column("b").to_numpy())
+        return spread(spark, id=ids, label=label)
     state = None
     while True:
         both = e.union(e.select(F.col("b").alias("a"), F.col("a").alias("b")))

@@ -48,9 +48,9 @@ def frequencies(rows: DataFrame) -> tuple[np.ndarray, int]:
         have = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(have, -1)), pa.array(np.append(total[have], n))], names=["bucket", "n"])
 
-    found = rows.select("text").mapInArrow(each, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
+    found = rows.select("text").mapInArrow(each, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
     out = np.zeros(BUCKETS + 1, np.int64)
-    out[found["bucket"].to_numpy(np.int64)] = found["n"].to_numpy(np.int64)
+    out[found.column("bucket").to_numpy()] = found.column("n").to_numpy()
     return out[:-1], int(out[-1])
 
 

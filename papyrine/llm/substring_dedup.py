@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from papyrine.llm.common import FILTER_IDS, cut, in_ids, near_groups, unwrapped, wrapped
+from papyrine.llm.common import FILTER_IDS, column, cut, in_ids, near_groups, unwrapped, wrapped
 from papyrine.llm.text import U, Words, lists, minhashes, mix, powers, runs, signed, slices, spans
 
 PARAGRAPH_WORDS = 20
@@ -141,7 +141,7 @@ def repeated_paragraphs(rows: DataFrame, paragraph_words: int, bands: int, band_
                 yield pa.RecordBatch.from_arrays([pa.array(np.repeat(signed(h), bands)), pa.array(signed(key.reshape(-1)))], names=["id", "key"])
 
     def chosen(ids: DataFrame):
-        head = ids.limit(FILTER_IDS + 1).toPandas()["id"].to_numpy(np.int64)
+        head = column(ids.limit(FILTER_IDS + 1), "id")
         return spark.sparkContext.broadcast(np.sort(head)) if len(head) <= FILTER_IDS else None
 
     def pick(known, h: np.ndarray) -> np.ndarray:
