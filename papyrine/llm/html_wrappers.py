@@ -27,8 +27,9 @@ from papyrine.llm.common import cut
 PARTS = 32
 #: A slot is main content if it holds at least this share of the host's data characters.
 MAIN_SHARE = 0.1
+BROADCAST_CHARS = 30_000_000
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style)\b.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>|([^<]+|<)", re.S | re.I)
+TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style)\b.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>|<[!?/a-zA-Z][^<>]*\Z|([^<]+|<)", re.S | re.I)
 CLASS = re.compile(r"\bclass\s*=\s*[\"']?\s*([\w-]+)", re.I)
 SQUARES = [re.compile(r"(.{%d})\1+" % n, re.S) for n in range(1, 49)]
 T = "#"
@@ -230,6 +231,12 @@ def wrappers(rows: DataFrame) -> DataFrame:
     return some.groupBy("host").applyInArrow(aligned, "host string, stream string, count long").select("host", F.col("stream").alias("wrapper"))
 
 
+def _small(hosts: DataFrame) -> DataFrame:
+    """hosts, to be broadcast if its wrappers have at most BROADCAST_CHARS characters; else pages are shuffled by host."""
+    size = hosts.agg(F.sum(F.length("wrapper") + F.length("host") + 100)).first()[0] or 0
+    return F.broadcast(hosts) if size <= BROADCAST_CHARS else hosts
+
+
 def _parsed(batch: pa.RecordBatch, known: dict[str, Wrapper]) -> Iterator[tuple[int, list[tuple[str, str]], bool, list[tuple[int, int]]]]:
     for i, (page, wrapper) in enumerate(zip(batch.column("html").to_pylist(), batch.column("wrapper").to_pylist())):
         if wrapper not in known:
@@ -254,7 +261,7 @@ def extract(pages: DataFrame, main_share: float = MAIN_SHARE) -> DataFrame:
     hosts = F.coalesce(F.lower(F.regexp_extract(F.coalesce(F.col("url").cast("string"), F.lit("")), r"^\s*(?i:[a-z][a-z0-9+.-]*:)?//(?:[^/@?#]*@)?([^/:?#]+)", 1)), F.lit(""))
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), hosts.alias("host"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
     known = cut(wrappers(rows))
-    joined = rows.join(known, "host")
+    joined = rows.join(_small(known), "host")
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[tuple[str, int], list] = {}
@@ -278,7 +285,7 @@ def extract(pages: DataFrame, main_share: float = MAIN_SHARE) -> DataFrame:
     total = F.sum(F.when(F.col("constant"), 0).otherwise(F.col("chars")))
     role = role.groupBy("host").agg(F.collect_list(F.struct("slot", "constant", "chars")).alias("s"), total.alias("total"))
     role = role.select("host", F.transform(F.filter("s", lambda x: x["constant"]), lambda x: x["slot"]).alias("constant"), F.transform(F.filter("s", lambda x: ~x["constant"] & (x["chars"] >= F.col("total") * F.lit(main_share))), lambda x: x["slot"]).alias("main"))
-    ready = rows.join(known.join(cut(role), "host", "left"), "host").select("page_id", "host", "html", "wrapper", "constant", "main")
+    ready = rows.join(_small(cut(known.join(role, "host", "left"))), "host").select("page_id", "host", "html", "wrapper", "constant", "main")
 
     def fields(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache: dict[str, Wrapper] = {}
