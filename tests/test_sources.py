@@ -88,7 +88,7 @@ def test_resolve():
 
 
 def test_scrape_end_to_end(spark, tmp_path, monkeypatch):
-    monkeypatch.chdir(tmp_path)
+    monkeypatch.setenv("OUTPUT_DIR", str(tmp_path / "data"))
     for k in ("NCBI_API_KEY", "SERPAPI_KEY", "EPO_KEY"):
         monkeypatch.delenv(k, raising=False)
     said = []
@@ -100,7 +100,7 @@ def test_scrape_end_to_end(spark, tmp_path, monkeypatch):
     assert cli.scrape(spark, "google_patents", "q", 3, say=said.append, transport="fake_services:google_html", **more) == 1
     from papyrine import storage
 
-    assert storage.count_documents(spark, out) == 12 and storage.count_documents(spark, "data/google_patents.jsonl") == 1
+    assert storage.count_documents(spark, out) == 12 and storage.count_documents(spark, tmp_path / "data" / "google_patents.jsonl") == 1
     assert {r["source"]: r["n"] for r in plans.counts(storage.read_documents(spark, out)).collect()} == {"uspto": 3, "pubmed": 9, None: 12}
 
 
