@@ -175,7 +175,7 @@ def _backwards(x: np.ndarray, graph: np.ndarray, new: np.ndarray, degree: int, a
 def neighbours(points: DataFrame, k: int = K, degree: int = DEGREE, beam: int = BEAM, alpha: float = ALPHA, shard_rows: int = SHARD_ROWS, query_rows: int = QUERY_ROWS) -> DataFrame:
     """(vec_id, rank, neighbour_id, distance): for every row its k nearest others, from 1.
 
-    Distances are Euclidean; ties stand in order of id.  Vectors of another length
+    Distances are Euclidean; ties stand in order of id (nulls last).  Vectors of another length
     than the most usual (the least of equals), null vectors and vectors with a
     null or non-finite part are in no answer and have none.  Repeated rows (equal
     id and vector) count once; equal vectors under other ids are neighbours at

@@ -96,7 +96,7 @@ def classifier(docs: DataFrame, labels: DataFrame, each: int = TRAIN_EACH) -> tu
     sample = known.where("quality = 1").orderBy(order, "doc_id").limit(each).union(known.where("quality = 0").orderBy(order, "doc_id").limit(each)).toPandas()
     if sample["quality"].nunique() < 2:
         return np.zeros(FEATURES), odds
-    t = in_ids(_rows(docs), docs.sparkSession.createDataFrame(sample[["doc_id"]]), "doc_id").toPandas().merge(sample, on="doc_id").sort_values(["doc_id", "text"])
+    t = in_ids(_rows(docs), docs.sparkSession.createDataFrame(sample[["doc_id"]]), "doc_id").toArrow().to_pandas().merge(sample, on="doc_id").sort_values(["doc_id", "text"])
     if t["quality"].nunique() < 2:
         return np.zeros(FEATURES), odds
     batch = pa.RecordBatch.from_arrays([pa.array(t["text"].tolist(), pa.string())], names=["text"])

@@ -3,7 +3,7 @@
 A *word* is a maximal run of ASCII letters, ASCII digits and non-ASCII
 characters of the lower-cased text; anything else separates.  Null counts as
 empty text.  Whole Arrow batches are tokenised and hashed with numpy passes
-over the UTF-8 buffer, in slices of about one megabyte so that the temporaries
+over the UTF-8 buffer, in slices of about half a megabyte so that the temporaries
 stay in cache and the memory of a worker doesn't follow the batch size.
 """
 
@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 U = np.uint64
 
 IS_WORD = np.zeros(256, dtype=bool)

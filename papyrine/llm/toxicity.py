@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from papyrine.llm.common import in_ids
-from papyrine.llm.text import Words, slices, words
+from papyrine.llm.text import Words, slices
 
 WINDOW = 64
 STRIDE = 48
@@ -33,11 +33,15 @@ TRAIN_TOXIC = 600
 TRAIN_CLEAN = 1200
 STEPS = 400
 BATCH = 64
-#: Words of fewer training documents (or of fewer than one in 200) have no vector of their own.
-LEAST_DOCS = 3
+#: Words of fewer training documents (or of fewer than one in 200) have no vector of their own; of others this share is
+#: hidden in training, so that characters count too.
+LEAST_DOCS = 5
+HIDDEN_WORDS = 0.6
+#: Times that small training sets are gone through at most.
+EPOCHS = 60
 SEED = 5
 
-_RANK = np.zeros(256, dtype=np.int64)
+_RANK = np.zeros(256, dtype=np.uint32)
 _RANK[ord("0") : ord("9") + 1] = np.arange(1, 11)
 _RANK[ord("a") : ord("z") + 1] = np.arange(11, 37)
 _RANK[128:] = 37 + np.arange(128)
@@ -45,12 +49,18 @@ _RANK[128:] = 37 + np.arange(128)
 
 def gram_codes(w: Words) -> tuple[np.ndarray, np.ndarray]:
     """A code for the bytes around each byte of each word (one before, two behind, none beyond the word), and where each word's begin."""
-    r = np.concatenate([[0], _RANK[w.buf], [0, 0]])
-    behind = np.where(r[2:-1] > 0, r[3:], 0)
-    code = ((r[:-3] * 40503 + r[1:-2] * 2531 + r[2:-1] * 163 + behind * 7919) * 2654435761 >> 9) & (CHAR_CODES - 1)
+    r = _RANK[w.buf]
+    before, behind, beyond = (np.zeros_like(r) for _ in range(3))
+    before[1:], behind[:-1], beyond[:-2] = r[:-1], r[1:], r[2:]
+    before[w.start] = 0  # rows stand next to each other in the buffer
+    behind[w.end - 1] = 0
+    beyond[behind == 0] = 0
+    beyond[w.end - 1] = 0
+    beyond[np.maximum(w.end - 2, 0)] = 0
+    code = (before * np.uint32(40503) + r * np.uint32(2531) + behind * np.uint32(163) + beyond * np.uint32(7919)) * np.uint32(2654435761) >> np.uint32(32 - CHAR_CODES.bit_length() + 1)
     n = w.end - w.start
     firsts = np.concatenate([[0], np.cumsum(n)])
-    return code[np.arange(firsts[-1]) + np.repeat(w.start - firsts[:-1], n)], firsts
+    return code[np.arange(firsts[-1]) + np.repeat(w.start - firsts[:-1], n)].astype(np.uint16), firsts
 
 
 def windows(first: np.ndarray, window: int, stride: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -203,7 +213,7 @@ class Network:
             m += 0.1 * (v - m)
             s += 0.001 * (v * v - s)
             if k in ("word", "char"):
-                self.p[k] *= 1 - 0.01 * rate
+                self.p[k] *= 1 - 0.1 * rate
             self.p[k] = (self.p[k] - rate * (m / (1 - 0.9 ** moments["t"])) / (np.sqrt(s / (1 - 0.999 ** moments["t"])) + 1e-7)).astype(np.float32)
 
     def scores(self, w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -224,21 +234,25 @@ class Network:
 def train(text: pa.Array, toxic: np.ndarray, seed: int = SEED, n_steps: int = STEPS) -> Network:
     """Fit on labelled texts; every fifth is held out to set the threshold."""
     rng = np.random.default_rng(seed)
-    w = words(text)
-    rows = np.arange(w.rows)
-    have = np.diff(w.first) > 0
+    parts = [w for _, w in slices(pa.RecordBatch.from_arrays([text], names=["text"]))]  # slices, so that temporaries stay small
+    total = sum(w.rows for w in parts)
+    joined = lambda cuts: np.concatenate([[0], np.cumsum(np.concatenate([np.diff(c) for c in cuts]))])
+    first, hashes = joined([w.first for w in parts]), np.concatenate([w.hash for w in parts])
+    rows = np.arange(total)
+    have = np.diff(first) > 0
     held = (rows % 5 == 4) & have
     fit = have & ~held
-    doc, inverse = w.row_of(), np.unique(w.hash, return_inverse=True)
+    doc, inverse = np.repeat(rows, np.diff(first)), np.unique(hashes, return_inverse=True)
     used = np.unique(np.stack([inverse[1], doc], axis=1)[fit[doc]], axis=0)
     count = np.stack([np.bincount(used[toxic[used[:, 1]] == c, 0], minlength=len(inverse[0])) for c in (0, 1)], axis=1)
     common = np.flatnonzero(count.sum(axis=1) >= max(LEAST_DOCS, fit.sum() // 200))
-    total = np.maximum(1, np.array([(toxic[fit] == c).sum() for c in (0, 1)]))
-    share = (count[common] + 2 * total / total.sum()) / total
+    each = np.maximum(1, np.array([(toxic[fit] == c).sum() for c in (0, 1)]))
+    share = (count[common] + 8 * each / each.sum()) / each
     prior = np.clip(0.5 * np.log(share[:, 1] / share[:, 0]), -1.5, 1.5).astype(np.float32)
     net = Network(inverse[0][common], prior, seed)
-    ids, (codes, firsts) = net.ids(w.hash), gram_codes(w)
-    row, start, n = windows(w.first, WINDOW, STRIDE)
+    ids, grams_ = net.ids(hashes), [gram_codes(w) for w in parts]
+    codes, firsts = np.concatenate([c for c, _ in grams_]), joined([f for _, f in grams_])
+    row, start, n = windows(first, WINDOW, STRIDE)
     lean = np.concatenate([[0], np.cumsum(np.maximum(0, net.p["word"][ids, 0]) ** 2)])
     score = lean[start + n] - lean[start]
     begin = np.searchsorted(row, rows)
@@ -248,31 +262,40 @@ def train(text: pa.Array, toxic: np.ndarray, seed: int = SEED, n_steps: int = ST
 
     bad, good = np.flatnonzero(fit & (toxic > 0)), np.flatnonzero(fit & (toxic == 0))
     top = worst(bad)
-    trust = np.where(score[top] >= np.median(score[top]), 1, 0.02)
+    trust = np.ones(len(bad))
     moments: dict = {}
     steps, scored = 0, 0.0
     while steps < n_steps:
         done = steps / n_steps
-        if done >= scored + 0.2:
+        if done >= max(0.35, scored + 0.2):
             scored = done
-            score = net.scores(w)[2]
+            score = np.concatenate([net.scores(w)[2] for w in parts])
             top = worst(bad)
             trust = np.maximum(0.02, 1 / (1 + np.exp(-2 * score[top])))  # a label that the text doesn't bear out counts little
-        part = [top]
-        size = np.searchsorted(row, good, side="right") - begin[good]
-        part += [begin[good] + (rng.random(len(good)) * size).astype(np.int64) for _ in range(2)]
-        if done > 0.15:
+
+        def some_of(docs: np.ndarray) -> np.ndarray:
+            return begin[docs] + (rng.random(len(docs)) * (np.searchsorted(row, docs, side="right") - begin[docs])).astype(np.int64)
+
+        part = [top, some_of(good), some_of(good)]
+        if scored:
             part.append(worst(good))
-        target = np.repeat([1, 0], [len(bad), sum(map(len, part[1:]))]).astype(np.float32)
-        weight = np.concatenate([trust, np.ones(sum(map(len, part[1:])))])
-        weight[: len(bad)] *= min(4.0, max(1.0, weight[len(bad) :].sum() / max(1, trust.sum())))
+        n_bad = len(bad)
+        if done < 0.15:  # at first any window of a toxic document may be the toxic one
+            part.insert(1, some_of(bad))
+            n_bad *= 2
         part = np.concatenate(part)
+        target = (np.arange(len(part)) < n_bad).astype(np.float32)
+        weight = np.ones(len(part))
+        weight[: len(bad)] = trust
+        weight[:n_bad] *= min(4.0, max(1.0, (len(part) - n_bad) / max(1, weight[:n_bad].sum())))
+        n_steps = min(n_steps, EPOCHS * -(-len(part) // BATCH))
         order = rng.permutation(len(part))
         for i in range(0, len(order), BATCH):
             some = order[i : i + BATCH]
             steps += 1
-            net.step(ids, codes, firsts, start[part[some]], n[part[some]], target[some], weight[some].astype(np.float32), moments, 0.01 * min(1, steps / 10) * (1 - 0.8 * done))
-    high = pool(*net.scores(w)[::2], w.rows)[0]
+            shown = np.where(rng.random(len(ids)) < HIDDEN_WORDS, 0, ids) if i == 0 else shown
+            net.step(shown, codes, firsts, start[part[some]], n[part[some]], target[some], weight[some].astype(np.float32), moments, 0.03 * min(1, steps / 10) * (1 - 0.8 * done))
+    high = pool(row, np.concatenate([net.scores(w)[2] for w in parts]), total)[0]
     check = np.flatnonzero(held) if held.any() else np.flatnonzero(fit)
     x, y = high[check], (toxic[check] > 0).astype(float)
     each = np.where(y > 0, min(4.0, max(1.0, (y == 0).sum() / max(1, y.sum()))), 1)
@@ -283,8 +306,9 @@ def train(text: pa.Array, toxic: np.ndarray, seed: int = SEED, n_steps: int = ST
     z = x @ net.head
     cand = np.unique(z)
     mid = np.concatenate([[cand[0] - 1], (cand[1:] + cand[:-1]) / 2, [cand[-1] + 1]])
-    f1 = np.array([2 * (y * (z > c)).sum() / max(1, y.sum() + (z > c).sum()) for c in mid])
-    best = np.flatnonzero(f1 == f1.max())
+    hit, cost = np.array([(y * (z > c)).sum() for c in mid]), np.array([(z > c).sum() for c in mid])
+    f = 2 * hit / np.maximum(1, y.sum() + cost)
+    best = np.flatnonzero(f == f.max())
     net.threshold = float(mid[best[len(best) // 2]])
     return net
 
@@ -297,7 +321,7 @@ def fit(docs: DataFrame, labels: DataFrame, toxic: int = TRAIN_TOXIC, clean: int
     if sample["toxic"].nunique() < 2:
         return None
     ids = docs.sparkSession.createDataFrame(sample[["doc_id"]])
-    rows = in_ids(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")), ids, "doc_id").dropDuplicates(["doc_id", "text"]).toPandas()
+    rows = in_ids(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")), ids, "doc_id").dropDuplicates(["doc_id", "text"]).toArrow().to_pandas()
     rows = rows.merge(sample, on="doc_id").sort_values(["doc_id", "text"])
     rows = rows.iloc[np.random.default_rng(SEED).permutation(len(rows))]
     if rows["toxic"].nunique() < 2:
