@@ -25,7 +25,8 @@ from papyrine.llm.text import U, Words, lists, minhashes, mix, powers, runs, sig
 PARAGRAPH_WORDS = 20
 SENTENCE_WORDS = 6
 RUN_WORDS = 20
-LONG_SENTENCE = 64
+#: Longer sentences are also cut between pairs of words whose hash ends in three zeros.
+LONG_SENTENCE = 12
 BANDS = 8
 ROWS = 3
 THRESHOLD = 0.7
@@ -55,13 +56,14 @@ def _segments(w: Words, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.nd
 
 
 def sentences(w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Sentences, each with the shorter ones before it; long ones are cut where a word's hash says so."""
+    """Sentences, each with the shorter ones before it; long ones are cut where the words' hashes say so, wherever they stand."""
     if not len(w.hash):
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
     ends = _after(w, IS_STOP)
     stop = np.flatnonzero(ends) + 1
     n = np.diff(np.concatenate([[0], stop]))
-    ends |= (np.repeat(n, n) > LONG_SENTENCE) & ((w.hash & U(15)) == 0)
+    pair = mix(w.hash[:-1] * U(0xD6E8FEB86659FD93) + w.hash[1:])
+    ends[:-1] |= (np.repeat(n, n)[:-1] > LONG_SENTENCE) & ((pair & U(7)) == 0)
     stop = np.flatnonzero(ends) + 1
     n = np.diff(np.concatenate([[0], stop]))
     row_end = np.zeros(len(ends) + 1, dtype=bool)

@@ -100,6 +100,16 @@ def test_passages_inside_lines_are_found_once(spark):
     assert want
 
 
+def test_passages_without_sentences_are_found(spark):
+    rng = seeded(8)
+    flat = lambda n: " ".join(words(prose(rng, n, 5000)))
+    for n in (55, 70, 200):
+        passage = flat(n)
+        texts = [f"{flat(40)} {passage} {flat(35)}" for _ in range(4)] + [flat(100)]
+        found = substring_dedup.repeated_passages(frame(spark, texts)).collect()
+        assert {r.doc_id for r in found} == {1, 2, 3} and all(r.kept_doc_id == 0 and 20 <= r.n_words <= n and r.start_word >= 40 for r in found)
+
+
 def test_paragraphs_against_brute_force(spark):
     rng = seeded(6)
     lines = [prose(rng, 45).replace("\n", " ") for _ in range(12)]
