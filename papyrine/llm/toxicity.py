@@ -280,7 +280,7 @@ def train(text: pa.Array, toxic: np.ndarray, seed: int = SEED, n_steps: int = ST
         if scored:
             part.append(worst(good))
         n_bad = len(bad)
-        if done < 0.15:  # at first any window of a toxic document may be the toxic one
+        if done < (0.15 if len(bad) >= 200 else 0.35):  # at first any window of a toxic document may be the toxic one
             part.insert(1, some_of(bad))
             n_bad *= 2
         part = np.concatenate(part)
@@ -288,10 +288,11 @@ def train(text: pa.Array, toxic: np.ndarray, seed: int = SEED, n_steps: int = ST
         weight = np.ones(len(part))
         weight[: len(bad)] = trust
         weight[:n_bad] *= min(4.0, max(1.0, (len(part) - n_bad) / max(1, weight[:n_bad].sum())))
-        n_steps = min(n_steps, EPOCHS * -(-len(part) // BATCH))
+        batch = max(16, min(BATCH, len(part) // 10))  # small training sets in small steps
+        n_steps = min(n_steps, EPOCHS * -(-len(part) // batch))
         order = rng.permutation(len(part))
-        for i in range(0, len(order), BATCH):
-            some = order[i : i + BATCH]
+        for i in range(0, len(order), batch):
+            some = order[i : i + batch]
             steps += 1
             shown = np.where(rng.random(len(ids)) < HIDDEN_WORDS, 0, ids) if i == 0 else shown
             net.step(shown, codes, firsts, start[part[some]], n[part[some]], target[some], weight[some].astype(np.float32), moments, 0.03 * min(1, steps / 10) * (1 - 0.8 * done))
