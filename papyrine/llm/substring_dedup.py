@@ -1,13 +1,17 @@
-"""Repeated passages: paragraph MinHash banding, exact verification, components.
-
-Two kinds of segments of a text are compared with those of all other texts and
-of the same text.  *Paragraphs* are lines of at least PARAGRAPH_WORDS words:
+"""Repeated passages: shared runs of words, repeated sentences, paragraph MinHash banding, components.
+
+Three things of a text are compared with those of all other texts and of the
+same text.  *Passages* are runs of at least PASSAGE_WORDS words that occur earlier,
+word for word: each is found whole, whatever sentences, lines and punctuation it
+has.  Every run of PASSAGE_WORDS words belongs to the least of its K-grams, which
+equal runs have in common; only those anchors are shuffled, with the hashes of the
+runs that belong to them.  *Paragraphs* are lines of at least PARAGRAPH_WORDS words:
 their word bigrams are minhashed into BANDS tables of ROWS rows, paragraphs that
 collide are verified by exact Jaccard similarity, and of each connected component
-the first occurrence stays.  *Sentences* find passages that begin or end inside a
-line: they are compared as a whole (one band of the full hash), and contiguous
-repeated sentences of at least RUN_WORDS words together are removed, but for the
-first occurrence.
+the first occurrence stays.  *Sentences* find shorter passages that begin or end
+inside a line: they are compared as a whole (one band of the full hash), and
+contiguous repeated sentences of at least RUN_WORDS words together are removed,
+but for the first occurrence.
 """
 
 from __future__ import annotations
@@ -25,6 +29,10 @@ from papyrine.llm.text import U, Words, lists, minhashes, mix, powers, runs, sig
 PARAGRAPH_WORDS = 20
 SENTENCE_WORDS = 6
 RUN_WORDS = 20
+PASSAGE_WORDS = 50
+K = 16
+#: Bytes of a run's hash that are kept beside its anchor's 64 bits.
+HASH_BYTES = 5
 #: Longer sentences are also cut between pairs of words whose hash ends in three zeros.
 LONG_SENTENCE = 12
 BANDS = 8
@@ -76,6 +84,35 @@ def sentences(w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return start[long], n[long], h[long]
 
 
+def anchors(w: Words, run_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Anchors of all runs of run_words words: hash of the anchor, first word and number of the runs that belong to it one after another, and the hashes of all runs."""
+    k = min(K, run_words)
+    count = np.maximum(np.diff(w.first) - run_words + 1, 0)
+    if not count.sum():
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    g = w.hash[: len(w.hash) - k + 1].copy()  # those across rows are in no run
+    for j in range(1, k):
+        g *= U(0xD6E8FEB86659FD93)
+        g += w.hash[j : len(g) + j]
+    g = mix(g)
+    best, at, have, window = g, np.arange(len(g)), 1, run_words - k + 1
+    while have < window:  # the least (the last of equals) of windows twice as long
+        step = min(have, window - have)
+        other, there = best[step:], at[step:]
+        n = len(other)
+        take = other <= best[:n]
+        best, at, have = np.where(take, other, best[:n]), np.where(take, there, at[:n]), have + step
+    firsts = np.concatenate([[0], np.cumsum(count)])
+    start = np.arange(firsts[-1]) + np.repeat(w.first[:-1] - firsts[:-1], count)
+    at = at[start]
+    new = np.append(True, (at[1:] != at[:-1]) | (start[1:] != start[:-1] + 1))
+    new[firsts[:-1][count > 0]] = True
+    head = np.flatnonzero(new)
+    p, inv = powers(len(w.hash) + 1)
+    acc = np.concatenate([np.zeros(1, np.uint64), np.cumsum(w.hash * p[: len(w.hash)], dtype=np.uint64)])
+    return g[at[head]], start[head], np.diff(np.append(head, len(start))), mix((acc[start + run_words] - acc[start]) * inv[start] + U(run_words))
+
+
 def paragraphs(w: Words, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Lines of at least so many words."""
     if not len(w.hash):
@@ -124,6 +161,59 @@ def repeated_sentences(rows: DataFrame) -> DataFrame:
     return found.select("uid", "doc_id", "span", F.rank().over(order).alias("at"), F.first("doc_id").over(order).alias("kept_doc_id")).where("at > 1").drop("at")
 
 
+def repeated_runs(rows: DataFrame, run_words: int) -> DataFrame:
+    """(uid, doc_id, span, kept_doc_id): later occurrences of runs of run_words words, joined as far as they have an anchor in common; span is first word << 32 | words."""
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, w in slices(batch):
+                key, start, n, h = anchors(w, run_words)
+                u, d, at = _place(part, w, start)
+                data = np.ascontiguousarray(h.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :HASH_BYTES])
+                ends = np.concatenate([[0], np.cumsum(n * HASH_BYTES)]).astype(np.int32)
+                hashes = pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(ends), pa.py_buffer(data)])
+                yield pa.RecordBatch.from_arrays([pa.array(signed(key)), u, d, pa.array(at.astype(np.int32)), hashes], names=["key", "uid", "doc_id", "at", "hashes"])
+
+    def later(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        none = np.iinfo(np.int64).max
+        seen = [np.zeros(0, kind) for kind in (np.int64, np.uint64, np.int64, np.int64, np.int64)]  # of the last key: key, run, uid, word, doc_id of each first
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            key = batch.column(0).to_numpy()
+            same = key[1:] == key[:-1]
+            more = np.append(False, same) | np.append(same, True)  # the last may go on in the next batch
+            more[0] |= bool(len(seen[0])) and seen[0][0] == key[0]
+            row = np.flatnonzero(more)
+            part = batch.take(pa.array(row))
+            col = part.column(4)
+            ends = np.frombuffer(col.buffers()[1], np.int32)[col.offset : col.offset + len(col) + 1].astype(np.int64)
+            data = np.frombuffer(col.buffers()[2], np.uint8)[ends[0] : ends[-1]].reshape(-1, HASH_BYTES)
+            n = np.diff(ends) // HASH_BYTES
+            of = np.repeat(np.arange(len(n)), n)
+            h = np.zeros((len(of), 8), np.uint8)
+            h[:, :HASH_BYTES] = data
+            word = part.column(3).to_numpy()[of].astype(np.int64) + np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
+            new = [key[row][of], h.reshape(-1).view("<u8"), part.column(1).to_numpy()[of], word, part.column(2).fill_null(none).to_numpy()[of]]
+            old = len(seen[0]) if len(seen[0]) and seen[0][0] == key[0] else 0
+            k, h, u, at, d = [np.concatenate([x[:old], y]) for x, y in zip(seen, new)]
+            _, first, inv = np.unique(mix(k.view(np.uint64) + mix(h)), return_index=True, return_inverse=True)
+            mine = np.sort(first[k[first] == key[-1]])
+            seen = [x[mine] for x in (k, h, u, at, d)]
+            f = first[inv]
+            gone = np.flatnonzero(((u[f] != u) | (at[f] != at))[old:])  # equal places are repeated rows
+            if not len(gone):
+                continue
+            begins = np.flatnonzero(np.append(True, (of[gone][1:] != of[gone][:-1]) | (gone[1:] != gone[:-1] + 1)))
+            words = np.diff(np.append(begins, len(gone))) + run_words - 1
+            kept = np.minimum.reduceat(d[f][old:][gone], begins)
+            who = pa.array(of[gone[begins]])
+            yield pa.RecordBatch.from_arrays([part.column(1).take(who), part.column(2).take(who), pa.array((word[gone[begins]] << 32) | words), pa.array(kept, mask=kept == none)], names=["uid", "doc_id", "span", "kept_doc_id"])
+
+    found = rows.mapInArrow(each, "key long, uid long, doc_id long, at int, hashes binary")
+    return found.repartition("key").sortWithinPartitions("key", F.col("doc_id").asc_nulls_last(), "uid", "at").mapInArrow(later, "uid long, doc_id long, span long, kept_doc_id long")
+
+
 def repeated_paragraphs(rows: DataFrame, paragraph_words: int, bands: int, band_rows: int, threshold: float) -> DataFrame:
     """(uid, doc_id, span, kept_doc_id): paragraphs that are similar to an earlier one of their component."""
     spark = rows.sparkSession
@@ -187,11 +277,11 @@ def repeated_paragraphs(rows: DataFrame, paragraph_words: int, bands: int, band_
     return found.select("uid", "doc_id", "span", F.rank().over(order).alias("at"), F.first("doc_id").over(order).alias("kept_doc_id")).where("at > 1").drop("at")
 
 
-def _removals(docs: DataFrame, paragraph_words: int, run_words: int, bands: int, band_rows: int, threshold: float) -> DataFrame:
+def _removals(docs: DataFrame, paragraph_words: int, run_words: int, bands: int, band_rows: int, threshold: float, passage_words: int) -> DataFrame:
     """(uid, doc_id, starts, words, kept): the runs of words to remove from each text, in order and apart."""
     rows = _rows(docs)
-    whole = repeated_paragraphs(rows, paragraph_words, bands, band_rows, threshold).withColumn("whole", F.lit(True))
-    found = repeated_sentences(rows).withColumn("whole", F.lit(False)).unionByName(whole).distinct()
+    whole = repeated_paragraphs(rows, paragraph_words, bands, band_rows, threshold).unionByName(repeated_runs(rows, passage_words)).withColumn("whole", F.lit(True))
+    found = repeated_sentences(rows).withColumn("whole", F.lit(False)).unionByName(whole)  # what repeated rows give twice does no harm
     each = found.groupBy("uid").agg(F.first("doc_id").alias("doc_id"), F.collect_list(F.struct("span", "whole", "kept_doc_id")).alias("found"))
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -226,15 +316,18 @@ def _removals(docs: DataFrame, paragraph_words: int, run_words: int, bands: int,
     return each.mapInArrow(merge, "uid long, doc_id long, starts array<int>, words array<int>, kept array<long>").where(F.size("starts") > 0)
 
 
-def repeated_passages(docs: DataFrame, paragraph_words: int = PARAGRAPH_WORDS, run_words: int = RUN_WORDS, bands: int = BANDS, band_rows: int = ROWS, threshold: float = THRESHOLD) -> DataFrame:
+def repeated_passages(docs: DataFrame, paragraph_words: int = PARAGRAPH_WORDS, run_words: int = RUN_WORDS, bands: int = BANDS, band_rows: int = ROWS, threshold: float = THRESHOLD, passage_words: int = PASSAGE_WORDS) -> DataFrame:
     """(doc_id, start_word, n_words, kept_doc_id): runs of words that repeat an earlier passage.
 
     Earlier is by doc_id (nulls last, then the text's hash) and position; the
     earliest passage of each component has no row, and kept_doc_id is the least
-    document id that keeps a copy of a part of the run.  Rows with equal doc_id
-    and text count as one document.  Null, empty and short texts have no rows.
+    document id that keeps a copy of a part of the run.  All words of a run of at
+    least passage_words words that occurs earlier, word for word, are in a row (of
+    words that repeat at once, again and again, one period stays).  Rows with equal
+    doc_id and text count as one document.  Null, empty and short texts have no
+    rows.
     """
-    found = _removals(docs, paragraph_words, run_words, bands, band_rows, threshold)
+    found = _removals(docs, paragraph_words, run_words, bands, band_rows, threshold, passage_words)
     return found.select("doc_id", F.explode(F.arrays_zip("starts", "words", "kept")).alias("r")).select("doc_id", F.col("r.starts").alias("start_word"), F.col("r.words").alias("n_words"), F.col("r.kept").alias("kept_doc_id"))
 
 
@@ -255,12 +348,12 @@ def cut_words(text: str, starts: list[int], counts: list[int]) -> str:
     return b"".join([*out, raw[at:]]).decode()
 
 
-def remove_repeated(docs: DataFrame, paragraph_words: int = PARAGRAPH_WORDS, run_words: int = RUN_WORDS, bands: int = BANDS, band_rows: int = ROWS, threshold: float = THRESHOLD) -> DataFrame:
+def remove_repeated(docs: DataFrame, paragraph_words: int = PARAGRAPH_WORDS, run_words: int = RUN_WORDS, bands: int = BANDS, band_rows: int = ROWS, threshold: float = THRESHOLD, passage_words: int = PASSAGE_WORDS) -> DataFrame:
     """docs without the passages that repeated_passages names; texts of which no word is left are dropped.
 
     All columns stay; n_chars, where there is one, is brought up to date.
     """
-    found = cut(_removals(docs, paragraph_words, run_words, bands, band_rows, threshold).select("uid", "starts", "words"))
+    found = cut(_removals(docs, paragraph_words, run_words, bands, band_rows, threshold, passage_words).select("uid", "starts", "words"))
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = wrapped(docs, uid=F.xxhash64(F.col("doc_id"), text), text=text)
     same = unwrapped(in_ids(rows, found.select("uid"), "uid", anti=True))

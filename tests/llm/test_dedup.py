@@ -139,3 +139,45 @@ def test_passages_edge_cases(spark):
 @pytest.mark.parametrize("starts, counts, want", [([0], [2], "c d.\ne f"), ([2], [2], "a b, e f".replace(", ", ",\n", 1)), ([4], [2], "a b, c d.\n"), ([0, 4], [4, 2], "")])
 def test_cut_words(starts, counts, want):
     assert substring_dedup.cut_words("a b, c d.\ne f", starts, counts).replace(" \n", "\n") == want
+
+
+def brute_runs(texts, n):
+    """doc_id -> words in a run of n words that occurs earlier."""
+    first, gone = set(), {}
+    for d, t in enumerate(texts):
+        w = words(t)
+        for i in range(len(w) - n + 1):
+            run = tuple(w[i : i + n])
+            if run in first:
+                gone.setdefault(d, set()).update(range(i, i + n))
+            first.add(run)
+    return gone
+
+
+def found_words(found):
+    out = {}
+    for r in found:
+        out.setdefault(r.doc_id, set()).update(range(r.start_word, r.start_word + r.n_words))
+    return out
+
+
+def broken(rng, n, every, end):
+    """n words with an end behind every so many (with 0: none)."""
+    w = words(prose(rng, n, 5000))
+    return " ".join(x + (end if every and i % every == every - 1 else "") for i, x in enumerate(w))
+
+
+def test_passages_are_found_whole_against_brute_force(spark):
+    rng = seeded(9)
+    texts = []
+    for n in (50, 51, 60, 100, 200):
+        for every in (0, 9, 17):
+            passage = broken(rng, n, every, ".")
+            texts += [f"{broken(rng, 37, 11, '.')} {passage} {broken(rng, 41, 13, '.')}" for _ in range(3)]
+    once = broken(rng, 70, 0, "")
+    texts += [f"{once} {broken(rng, 30, 7, '.')} {once}", broken(rng, 49, 0, ""), None, ""]
+    passage = broken(rng, 90, 0, "").split()  # one text has its beginning, another its end
+    texts += [" ".join(p + broken(rng, 30, 0, "").split()) for p in (passage[:60], passage[30:], passage)]
+    want = brute_runs(texts, 50)
+    found = substring_dedup.repeated_passages(frame(spark, texts)).collect()
+    assert found_words(found) == want and len(want) >= 32
