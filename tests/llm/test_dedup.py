@@ -181,3 +181,19 @@ def test_passages_are_found_whole_against_brute_force(spark):
     want = brute_runs(texts, 50)
     found = substring_dedup.repeated_passages(frame(spark, texts)).collect()
     assert found_words(found) == want and len(want) >= 32
+
+
+@pytest.mark.parametrize("end", [".", "\n"])
+def test_passages_of_short_sentences_and_lines_are_found(spark, end):
+    rng = seeded(10)
+    texts = []
+    for n in (51, 60, 100, 200):
+        passage = broken(rng, n, 5, end)
+        texts += [f"{broken(rng, 37, 4, end)} {passage} {broken(rng, 41, 3, end)}" for _ in range(3)]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 2)  # an anchor's places are in several batches
+    try:
+        found = substring_dedup.repeated_passages(frame(spark, texts)).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    want = brute_runs(texts, 50)
+    assert found_words(found) == want and len(want) == 8
