@@ -4,6 +4,8 @@ from pathlib import Path
 
 import pytest
 
+os.environ.setdefault("OMP_NUM_THREADS", "1")  # small matrices: threads only hinder each other
+
 ROOT = Path(__file__).resolve().parent.parent
 for p in (str(ROOT), str(ROOT / "tests")):
     if p not in sys.path:
