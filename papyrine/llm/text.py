@@ -17,6 +17,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 SLICE_BYTES = 1 << 19
+#: Words are hashed so many bytes at a time, so that the 64-bit temporaries of a very long text stay small.
+HASH_BYTES = 1 << 20
 U = np.uint64
 
 IS_WORD = np.zeros(256, dtype=bool)
@@ -98,15 +100,40 @@ def words(arr: pa.Array) -> Words:
     """Tokenise and hash one array of texts."""
     buf, row_at = _bytes(pc.utf8_lower(pc.fill_null(arr, "")))
     start, end, first = spans(buf, row_at)
-    p, inv = powers(len(buf) + 1)
-    acc = np.zeros(len(buf) + 1, dtype=np.uint64)
-    np.cumsum(BYTE_CODE[buf] * p[: len(buf)], out=acc[1:])
-    h = mix((acc[end] - acc[start]) * inv[start] + (end - start).astype(np.uint64))
+    h, lo = np.empty(len(start), dtype=np.uint64), 0
+    while lo < len(start):
+        hi = max(lo + 1, int(np.searchsorted(start, start[lo] + HASH_BYTES)))
+        a, n = start[lo], end[hi - 1] - start[lo]
+        p, inv = powers(n + 1)
+        acc = np.zeros(n + 1, dtype=np.uint64)
+        np.cumsum(BYTE_CODE[buf[a : a + n]] * p[:n], out=acc[1:])
+        b, e = start[lo:hi] - a, end[lo:hi] - a
+        h[lo:hi] = mix((acc[e] - acc[b]) * inv[b] + (e - b).astype(np.uint64))
+        lo = hi
     return Words(buf, row_at, first, start, end, h)
 
 
-def slices(batch: pa.RecordBatch, text: str = "text", size: int = SLICE_BYTES) -> Iterator[tuple[pa.RecordBatch, Words]]:
-    """The batch in slices of whole rows of about size bytes of text, with their words; a longer row is a slice of its own."""
+def pieces(raw: np.ndarray, size: int) -> Iterator[bytes]:
+    """UTF-8 in pieces of about size bytes, each but the last ending between words; a longer word stays whole."""
+    lo = 0
+    while lo < len(raw):
+        hi, at = lo, lo
+        while hi < len(raw):
+            hi = min(len(raw), hi + size)
+            between = np.flatnonzero(~IS_WORD[raw[at:hi]])
+            if len(between) and hi < len(raw):
+                hi = at + int(between[-1]) + 1
+                break
+            at = hi
+        yield raw[lo:hi].tobytes()
+        lo = hi
+
+
+def slices(batch: pa.RecordBatch, text: str = "text", size: int = SLICE_BYTES, long: int | None = None) -> Iterator[tuple[pa.RecordBatch, Words | None]]:
+    """The batch in slices of whole rows of about size bytes of text, with their words; a longer row is a slice of its own.
+
+    With `long`, a row of more bytes comes without its words: it is for the caller to read in pieces.
+    """
     col = batch.column(batch.schema.get_field_index(text))
     n = batch.num_rows
     if not n:
@@ -116,7 +143,10 @@ def slices(batch: pa.RecordBatch, text: str = "text", size: int = SLICE_BYTES) -
     while i < n:
         j = min(n, max(i + 1, int(np.searchsorted(at, at[i] + size, side="right")) - 1))
         part = batch.slice(i, j - i)
-        yield part, words(part.column(part.schema.get_field_index(text)))
+        if long is not None and at[j] - at[i] > long and j == i + 1:
+            yield part, None
+        else:
+            yield part, words(part.column(part.schema.get_field_index(text)))
         i = j
 
 

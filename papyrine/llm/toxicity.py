@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from papyrine.llm.common import in_ids
-from papyrine.llm.text import Words, slices
+from papyrine.llm.text import Words, _bytes, pieces, slices, words
 
 WINDOW = 64
 STRIDE = 48
@@ -32,14 +32,20 @@ CHAR_CODES = 8192
 TRAIN_TOXIC = 600
 TRAIN_CLEAN = 1200
 STEPS = 400
+STARTS = 2
 BATCH = 64
+RATE = 0.05
 #: Words of fewer training documents (or of fewer than one in 200) have no vector of their own; of others this share is
 #: hidden in training, so that characters count too.
 LEAST_DOCS = 5
 HIDDEN_WORDS = 0.6
-#: Times that small training sets are gone through at most.
-EPOCHS = 60
+#: Logits by which held-out scores are blurred when the threshold is chosen.
+BLUR = 1.0
+#: Share of the steps over whose weights the network is averaged, from the end.
+AVERAGED = 0.3
 SEED = 5
+#: A longer text is read in pieces of a quarter of this.
+LONG_BYTES = 1 << 22
 
 _RANK = np.zeros(256, dtype=np.uint32)
 _RANK[ord("0") : ord("9") + 1] = np.arange(1, 11)
@@ -81,7 +87,7 @@ def _summed(at: np.ndarray, x: np.ndarray, n: int) -> np.ndarray:
 class Network:
     """The weights, and forward and backward passes over windows."""
 
-    def __init__(self, vocabulary: np.ndarray, prior: np.ndarray, seed: int = SEED):
+    def __init__(self, vocabulary: np.ndarray, prior: np.ndarray, seed: int = SEED, char_prior: np.ndarray | float = 0.0):
         rng = np.random.default_rng(seed)
         f = lambda *s: (rng.standard_normal(s) / np.sqrt(s[0])).astype(np.float32)
         h, d = HIDDEN, WORD_DIM + CHAR_DIM
@@ -89,7 +95,9 @@ class Network:
         word = (rng.standard_normal((len(vocabulary) + 1, WORD_DIM)) * 0.1).astype(np.float32)
         word[0] = 0
         word[1:, 0] = prior
-        self.p = {"word": word, "char": (rng.standard_normal((CHAR_CODES, CHAR_DIM)) * 0.3).astype(np.float32), "b": np.zeros(6 * h, np.float32), "W": f(d, 6 * h), "att": f(2 * h, h), "att_b": np.zeros(h, np.float32), "v": f(h, 1)[:, 0], "w": f(2 * h, 1)[:, 0], "c": np.full(1, -2, np.float32)}
+        char = (rng.standard_normal((CHAR_CODES, CHAR_DIM)) * 0.3).astype(np.float32)
+        char[:, 0] = char_prior
+        self.p = {"word": word, "char": char, "b": np.zeros(6 * h, np.float32), "W": f(d, 6 * h), "att": f(2 * h, h), "att_b": np.zeros(h, np.float32), "v": f(h, 1)[:, 0], "w": f(2 * h, 1)[:, 0], "c": np.full(1, -2, np.float32)}
         for side in "fb":
             self.p["U" + side] = f(h, 3 * h)
         self.head, self.threshold = np.array([0.0, 1, 0, 0]), 0.0
@@ -231,9 +239,11 @@ class Network:
         return row, start, logit
 
 
-def train(text: pa.Array, toxic: np.ndarray, seed: int = SEED, n_steps: int = STEPS) -> Network:
-    """Fit on labelled texts; every fifth is held out to set the threshold."""
-    rng = np.random.default_rng(seed)
+def train(text: pa.Array, toxic: np.ndarray, seed: int = SEED, n_steps: int = STEPS, starts: int = STARTS) -> Network:
+    """Fit on labelled texts from several initialisations, of which the one with the least held-out loss is taken.
+
+    Every fifth text is held out for that and to set the threshold.
+    """
     parts = [w for _, w in slices(pa.RecordBatch.from_arrays([text], names=["text"]))]  # slices, so that temporaries stay small
     total = sum(w.rows for w in parts)
     joined = lambda cuts: np.concatenate([[0], np.cumsum(np.concatenate([np.diff(c) for c in cuts]))])
@@ -243,28 +253,54 @@ def train(text: pa.Array, toxic: np.ndarray, seed: int = SEED, n_steps: int = ST
     held = (rows % 5 == 4) & have
     fit = have & ~held
     doc, inverse = np.repeat(rows, np.diff(first)), np.unique(hashes, return_inverse=True)
-    used = np.unique(np.stack([inverse[1], doc], axis=1)[fit[doc]], axis=0)
-    count = np.stack([np.bincount(used[toxic[used[:, 1]] == c, 0], minlength=len(inverse[0])) for c in (0, 1)], axis=1)
-    common = np.flatnonzero(count.sum(axis=1) >= max(LEAST_DOCS, fit.sum() // 200))
-    each = np.maximum(1, np.array([(toxic[fit] == c).sum() for c in (0, 1)]))
-    share = (count[common] + 8 * each / each.sum()) / each
-    prior = np.clip(0.5 * np.log(share[:, 1] / share[:, 0]), -1.5, 1.5).astype(np.float32)
-    net = Network(inverse[0][common], prior, seed)
-    ids, grams_ = net.ids(hashes), [gram_codes(w) for w in parts]
+    grams_ = [gram_codes(w) for w in parts]
     codes, firsts = np.concatenate([c for c, _ in grams_]), joined([f for _, f in grams_])
+    each = np.maximum(1, np.array([(toxic[fit] == c).sum() for c in (0, 1)]))
+
+    def counts(what: np.ndarray, of: np.ndarray, kinds: int) -> np.ndarray:
+        """In how many documents of each class that are fitted on each kind occurs."""
+        used = np.unique(of[fit[of]] * kinds + what[fit[of]])
+        return np.stack([np.bincount((used % kinds)[toxic[used // kinds] == c], minlength=kinds) for c in (0, 1)], axis=1)
+
+    def lean_of(count: np.ndarray) -> np.ndarray:
+        """How much more often a kind is in toxic documents, shrunk where it is rare: half the log odds."""
+        share = (count + 8 * each / each.sum()) / each
+        return np.clip(0.5 * np.log(share[:, 1] / share[:, 0]), -1.5, 1.5).astype(np.float32)
+
+    count = counts(inverse[1], doc, len(inverse[0]))
+    common = np.flatnonzero(count.sum(axis=1) >= max(LEAST_DOCS, fit.sum() // 200))
+    by_code = counts(codes.astype(np.int64), np.repeat(doc, np.diff(firsts)), CHAR_CODES)
+    char_prior = lean_of(by_code)
+    word_prior = lean_of(count[common])
+    ids = Network(inverse[0][common], word_prior).ids(hashes)
+    word_lean = np.append(np.float32(0), word_prior)[ids]
     row, start, n = windows(first, WINDOW, STRIDE)
-    lean = np.concatenate([[0], np.cumsum(np.maximum(0, net.p["word"][ids, 0]) ** 2)])
-    score = lean[start + n] - lean[start]
+    by_char = np.add.reduceat(char_prior[codes], firsts[:-1]) / np.diff(firsts) if len(ids) else np.zeros(0)
+    lean = np.concatenate([[0], np.cumsum(np.maximum(0, np.maximum(word_lean, by_char)) ** 2)])
     begin = np.searchsorted(row, rows)
+    check = np.flatnonzero(held) if held.any() else np.flatnonzero(fit)
+
+    def fitted(seed: int) -> tuple[Network, float]:
+        net = Network(inverse[0][common], word_prior, seed, char_prior)
+        net.p["char"][by_code.sum(axis=1) == 0] = 0  # what training never sees says nothing
+        _steps(net, parts, ids, codes, firsts, row, start, n, rows, begin, lean[start + n] - lean[start], np.flatnonzero(fit & (toxic > 0)), np.flatnonzero(fit & (toxic == 0)), np.random.default_rng(seed), n_steps)
+        high = pool(row, np.concatenate([net.scores(w)[2] for w in parts]), total)[0]
+        return net, _decide(net, high[check], (toxic[check] > 0).astype(float))
+
+    return min((fitted(seed + 1000 * i) for i in range(starts)), key=lambda x: x[1])[0]
+
+
+def _steps(net: Network, parts: list, ids: np.ndarray, codes: np.ndarray, firsts: np.ndarray, row: np.ndarray, start: np.ndarray, n: np.ndarray, rows: np.ndarray, begin: np.ndarray, score: np.ndarray, bad: np.ndarray, good: np.ndarray, rng: np.random.Generator, n_steps: int) -> None:
+    """Fit the network to windows of toxic (bad) and clean (good) documents; score says at first which windows are worst."""
 
     def worst(of: np.ndarray) -> np.ndarray:
         return np.array([begin[i] + int(np.argmax(score[begin[i] : np.searchsorted(row, i, side="right")])) for i in of], dtype=np.int64)
 
-    bad, good = np.flatnonzero(fit & (toxic > 0)), np.flatnonzero(fit & (toxic == 0))
     top = worst(bad)
     trust = np.ones(len(bad))
     moments: dict = {}
-    steps, scored = 0, 0.0
+    mean: dict = {}
+    steps, scored, averaged = 0, 0.0, 0
     while steps < n_steps:
         done = steps / n_steps
         if done >= max(0.35, scored + 0.2):
@@ -280,7 +316,7 @@ def train(text: pa.Array, toxic: np.ndarray, seed: int = SEED, n_steps: int = ST
         if scored:
             part.append(worst(good))
         n_bad = len(bad)
-        if done < (0.15 if len(bad) >= 200 else 0.35):  # at first any window of a toxic document may be the toxic one
+        if done < 0.35:  # at first any window of a toxic document may be the toxic one
             part.insert(1, some_of(bad))
             n_bad *= 2
         part = np.concatenate(part)
@@ -288,17 +324,22 @@ def train(text: pa.Array, toxic: np.ndarray, seed: int = SEED, n_steps: int = ST
         weight = np.ones(len(part))
         weight[: len(bad)] = trust
         weight[:n_bad] *= min(4.0, max(1.0, (len(part) - n_bad) / max(1, weight[:n_bad].sum())))
-        batch = max(16, min(BATCH, len(part) // 10))  # small training sets in small steps
-        n_steps = min(n_steps, EPOCHS * -(-len(part) // batch))
         order = rng.permutation(len(part))
-        for i in range(0, len(order), batch):
-            some = order[i : i + batch]
+        for i in range(0, len(order), BATCH):
+            some = order[i : i + BATCH]
             steps += 1
             shown = np.where(rng.random(len(ids)) < HIDDEN_WORDS, 0, ids) if i == 0 else shown
-            net.step(shown, codes, firsts, start[part[some]], n[part[some]], target[some], weight[some].astype(np.float32), moments, 0.03 * min(1, steps / 10) * (1 - 0.8 * done))
-    high = pool(row, np.concatenate([net.scores(w)[2] for w in parts]), total)[0]
-    check = np.flatnonzero(held) if held.any() else np.flatnonzero(fit)
-    x, y = high[check], (toxic[check] > 0).astype(float)
+            if done > 1 - AVERAGED:
+                for k, v in net.p.items():
+                    mean[k] = mean.get(k, 0.0) + v
+                averaged += 1
+            net.step(shown, codes, firsts, start[part[some]], n[part[some]], target[some], weight[some].astype(np.float32), moments, RATE * min(1, steps / 10) * (1 - 0.8 * done))
+    if averaged:
+        net.p = {k: (v / averaged).astype(np.float32) for k, v in mean.items()}
+
+
+def _decide(net: Network, x: np.ndarray, y: np.ndarray) -> float:
+    """Set the network's head and threshold by held-out documents; returns their loss."""
     each = np.where(y > 0, min(4.0, max(1.0, (y == 0).sum() / max(1, y.sum()))), 1)
     first = net.head.copy()
     for _ in range(2000):  # gradient steps, with a ridge towards the worst window alone
@@ -306,12 +347,12 @@ def train(text: pa.Array, toxic: np.ndarray, seed: int = SEED, n_steps: int = ST
         net.head = net.head - 0.02 * (x.T @ (each * (q - y)) / each.sum() + 0.01 * (net.head - first))
     z = x @ net.head
     cand = np.unique(z)
-    mid = np.concatenate([[cand[0] - 1], (cand[1:] + cand[:-1]) / 2, [cand[-1] + 1]])
-    hit, cost = np.array([(y * (z > c)).sum() for c in mid]), np.array([(z > c).sum() for c in mid])
-    f = 2 * hit / np.maximum(1, y.sum() + cost)
+    mid = np.concatenate([[cand[0] - 1], np.linspace(cand[0], cand[-1], 201), [cand[-1] + 1]])
+    soft = 1 / (1 + np.exp(-np.clip((z[None] - mid[:, None]) / BLUR, -30, 30)))  # blurred, so that a gap is cut in its middle
+    f = 2 * (soft * y).sum(axis=1) / (y.sum() + soft.sum(axis=1))
     best = np.flatnonzero(f == f.max())
     net.threshold = float(mid[best[len(best) // 2]])
-    return net
+    return float((each * (np.logaddexp(0, z) - y * z)).sum() / each.sum())
 
 
 def fit(docs: DataFrame, labels: DataFrame, toxic: int = TRAIN_TOXIC, clean: int = TRAIN_CLEAN) -> Network | None:
@@ -337,7 +378,10 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     begins (counted from 0; the first of equals), toxic whether the score is over the threshold
     that held-out labelled documents set.  Rows without words have score 0, no
     windows and null worst_word, and aren't toxic; without labels of both classes
-    no row is.  Repeated rows are scored each; null ids are carried.
+    no row is.  Repeated rows are scored each; null ids are carried; an empty table
+    gives no rows.  A very long text is read in pieces that overlap as windows do,
+    so its score covers all of it in bounded memory.  Other columns are ignored,
+    whatever their names.
     """
     net = fit(docs, labels)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
@@ -347,8 +391,7 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, w in slices(batch):
-                worst, at, count = judge(shared.value, w)
+            for part, (worst, at, count) in judged(shared.value, batch):
                 none = count == 0
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(np.where(none, 0.0, 1 / (1 + np.exp(-worst)))), pa.array(at.astype(np.int32), mask=none), pa.array(count.astype(np.int32)), pa.array(~none & (worst > shared.value.threshold))],
@@ -368,22 +411,65 @@ def pool(row: np.ndarray, logit: np.ndarray, rows: int) -> tuple[np.ndarray, np.
     return np.stack([np.ones(rows), worst, np.log(soft + 0.01), soft / np.maximum(1, count) ** 0.5], axis=1), count
 
 
+def in_pieces(net: Network, raw: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """First word and logit of every window of one very long text, of which a piece is tokenised at a time."""
+    starts, logits, before, carry, done = [], [], 0, b"", False
+    todo = pieces(raw, size)
+    piece = next(todo, b"")
+    while not done:
+        later = next(todo, None)
+        done = later is None
+        w = words(pa.array([(carry + piece).decode("utf-8", "replace")], pa.string()))
+        n, full = len(w.hash), 0
+        if not done:  # only windows that are whole; the words of the next begin the next piece
+            full = (n - WINDOW) // STRIDE + 1 if n >= WINDOW else 0
+            carry = w.buf[w.start[full * STRIDE] if full * STRIDE < n else len(w.buf) :].tobytes()
+        if n > WINDOW - STRIDE or not before:  # else the last window before has them
+            _, start, logit = net.scores(w)
+            keep = slice(0, full) if not done else slice(None)
+            starts.append(start[keep] + before)
+            logits.append(logit[keep])
+        before += full * STRIDE
+        piece = later
+    return np.concatenate(starts), np.concatenate(logits)
+
+
+def judged(net: Network, batch: pa.RecordBatch, long: int = LONG_BYTES) -> Iterator[tuple[pa.RecordBatch, tuple[np.ndarray, np.ndarray, np.ndarray]]]:
+    """The batch in slices, with what judge says of their rows."""
+    for part, w in slices(batch, long=long):
+        if w is not None:
+            yield part, judge(net, w)
+        else:
+            raw, _ = _bytes(part.column(part.schema.get_field_index("text")))
+            start, logit = in_pieces(net, raw, max(1, long // 4))
+            yield part, _verdicts(net, np.zeros(len(start), np.int64), start, logit, np.zeros(1, np.int64))
+
+
 def judge(net: Network, w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The logit, the first word of the worst window and the number of windows of each row."""
-    row, start, logit = net.scores(w)
-    seen, count = pool(row, logit, w.rows)
-    at = np.zeros(w.rows, np.int64)
+    return _verdicts(net, *net.scores(w), w.first[:-1])
+
+
+def _verdicts(net: Network, row: np.ndarray, start: np.ndarray, logit: np.ndarray, first_word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    rows = len(first_word)
+    seen, count = pool(row, logit, rows)
+    at = np.zeros(rows, np.int64)
     have = np.flatnonzero(count)
     if len(have):
         most = np.maximum.reduceat(logit, (np.cumsum(count) - count)[have])
         hit = np.flatnonzero(logit >= np.repeat(most, count[have]))
         _, first = np.unique(row[hit], return_index=True)
-        at[have] = start[hit[first]] - w.first[have]
+        at[have] = start[hit[first]] - first_word[have]
     return seen @ net.head, at, count
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """docs without the rows that toxicity marks; all columns stay, and rows without words stay."""
+    """docs without the rows that toxicity marks; all columns stay.
+
+    Rows without words (null and empty texts among them) stay, and without labels
+    of both classes all rows do.  Repeated rows are judged alike; very long texts
+    are judged whole, in pieces; an empty table stays empty.
+    """
     net = fit(docs, labels)
     if net is None:
         return docs
@@ -391,8 +477,7 @@ def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, w in slices(batch):
-                worst, _, count = judge(shared.value, w)
+            for part, (worst, _, count) in judged(shared.value, batch):
                 yield part.filter(pa.array((count == 0) | (worst <= shared.value.threshold)))
 
     return docs.mapInArrow(each, docs.schema)

@@ -1,4 +1,6 @@
 import math
+from concurrent.futures import ProcessPoolExecutor
+from multiprocessing import get_context
 
 import numpy as np
 import pyarrow as pa
@@ -74,6 +76,43 @@ def test_toxicity_held_out(spark):
     assert left.columns == docs.columns and {r.doc_id for r in left.collect()} == {i for i, r in found.items() if not r.toxic}
 
 
+def held_out(seed, n):
+    """Recall and precision on fresh documents of a network that n labelled ones trained."""
+    texts, toxic = labelled(n, 21)
+    fresh, truth = labelled(120, 22)
+    net = toxicity.train(pa.array(texts), np.array(toxic), seed)
+    guess, truth = toxicity.judge(net, tokenised(pa.array(fresh)))[0] > net.threshold, np.array(truth) > 0
+    return (guess & truth).sum() / truth.sum(), (guess & truth).sum() / max(1, guess.sum())
+
+
+def test_small_label_sets_whatever_the_seed():
+    with ProcessPoolExecutor(4, mp_context=get_context("spawn")) as pool:
+        for recall, precision in pool.map(held_out, [5, 6, 7, 8, 9], [240] * 5):
+            assert recall >= 0.8 and precision >= 0.8
+
+
+def test_pieces_of_long_texts_score_as_the_whole():
+    texts, toxic = labelled(60, 21)
+    net = toxicity.train(pa.array(texts), np.array(toxic), n_steps=20)
+    every = " ".join(texts).split()
+    for n in (1, 63, 64, 65, 112, 113, 160, len(every)):
+        batch = pa.RecordBatch.from_arrays([pa.array([" ".join(every[:n]), "", None, "é" * 900])], names=["text"])
+        whole = [v for _, v in toxicity.judged(net, batch)]
+        for long in (64, 100, 999):
+            cut = [v for _, v in toxicity.judged(net, batch, long)]
+            for i in range(3):
+                assert np.allclose(np.concatenate([v[i] for v in whole]), np.concatenate([v[i] for v in cut]), atol=1e-4)
+
+
+def test_toxicity_of_repeated_rows_and_null_ids(spark):
+    texts, toxic = labelled(90, 21)
+    docs = frame(spark, texts + [texts[0], texts[0], texts[0] * 3], ids=[*range(90), 0, None, None])
+    labels = spark.createDataFrame([(i, t) for i, t in enumerate(toxic)], "doc_id long, toxic int")
+    found = toxicity.toxicity(docs, labels).collect()
+    assert len(found) == 93 and sum(r.doc_id is None for r in found) == 2
+    assert len({(round(r.score, 6), r.n_windows) for r in found if r.doc_id == 0}) == 1
+
+
 def test_toxicity_without_labels(spark):
     docs = frame(spark, ["a b", None], ids=[None, 1])
     labels = spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int")
