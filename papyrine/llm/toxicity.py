@@ -32,7 +32,6 @@ CHAR_CODES = 8192
 TRAIN_TOXIC = 600
 TRAIN_CLEAN = 1200
 STEPS = 400
-STARTS = 2
 BATCH = 64
 RATE = 0.05
 #: Words of fewer training documents (or of fewer than one in 200) have no vector of their own; of others this share is
@@ -40,7 +39,7 @@ RATE = 0.05
 LEAST_DOCS = 5
 HIDDEN_WORDS = 0.6
 #: Logits by which held-out scores are blurred when the threshold is chosen.
-BLUR = 1.0
+BLUR = 0.5
 #: Share of the steps over whose weights the network is averaged, from the end.
 AVERAGED = 0.3
 SEED = 5
@@ -239,11 +238,8 @@ class Network:
         return row, start, logit
 
 
-def train(text: pa.Array, toxic: np.ndarray, seed: int = SEED, n_steps: int = STEPS, starts: int = STARTS) -> Network:
-    """Fit on labelled texts from several initialisations, of which the one with the least held-out loss is taken.
-
-    Every fifth text is held out for that and to set the threshold.
-    """
+def train(text: pa.Array, toxic: np.ndarray, seed: int = SEED, n_steps: int = STEPS) -> Network:
+    """Fit on labelled texts, in as many steps of as many windows whatever their number; every fifth is held out to set the threshold."""
     parts = [w for _, w in slices(pa.RecordBatch.from_arrays([text], names=["text"]))]  # slices, so that temporaries stay small
     total = sum(w.rows for w in parts)
     joined = lambda cuts: np.concatenate([[0], np.cumsum(np.concatenate([np.diff(c) for c in cuts]))])
@@ -280,14 +276,12 @@ def train(text: pa.Array, toxic: np.ndarray, seed: int = SEED, n_steps: int = ST
     begin = np.searchsorted(row, rows)
     check = np.flatnonzero(held) if held.any() else np.flatnonzero(fit)
 
-    def fitted(seed: int) -> tuple[Network, float]:
-        net = Network(inverse[0][common], word_prior, seed, char_prior)
-        net.p["char"][by_code.sum(axis=1) == 0] = 0  # what training never sees says nothing
-        _steps(net, parts, ids, codes, firsts, row, start, n, rows, begin, lean[start + n] - lean[start], np.flatnonzero(fit & (toxic > 0)), np.flatnonzero(fit & (toxic == 0)), np.random.default_rng(seed), n_steps)
-        high = pool(row, np.concatenate([net.scores(w)[2] for w in parts]), total)[0]
-        return net, _decide(net, high[check], (toxic[check] > 0).astype(float))
-
-    return min((fitted(seed + 1000 * i) for i in range(starts)), key=lambda x: x[1])[0]
+    net = Network(inverse[0][common], word_prior, seed, char_prior)
+    net.p["char"][by_code.sum(axis=1) == 0] = 0  # what training never sees says nothing
+    _steps(net, parts, ids, codes, firsts, row, start, n, rows, begin, lean[start + n] - lean[start], np.flatnonzero(fit & (toxic > 0)), np.flatnonzero(fit & (toxic == 0)), np.random.default_rng(seed), n_steps)
+    high = pool(row, np.concatenate([net.scores(w)[2] for w in parts]), total)[0]
+    _decide(net, high[check], (toxic[check] > 0).astype(float))
+    return net
 
 
 def _steps(net: Network, parts: list, ids: np.ndarray, codes: np.ndarray, firsts: np.ndarray, row: np.ndarray, start: np.ndarray, n: np.ndarray, rows: np.ndarray, begin: np.ndarray, score: np.ndarray, bad: np.ndarray, good: np.ndarray, rng: np.random.Generator, n_steps: int) -> None:
@@ -338,8 +332,8 @@ def _steps(net: Network, parts: list, ids: np.ndarray, codes: np.ndarray, firsts
         net.p = {k: (v / averaged).astype(np.float32) for k, v in mean.items()}
 
 
-def _decide(net: Network, x: np.ndarray, y: np.ndarray) -> float:
-    """Set the network's head and threshold by held-out documents; returns their loss."""
+def _decide(net: Network, x: np.ndarray, y: np.ndarray) -> None:
+    """Set the network's head and threshold by held-out documents."""
     each = np.where(y > 0, min(4.0, max(1.0, (y == 0).sum() / max(1, y.sum()))), 1)
     first = net.head.copy()
     for _ in range(2000):  # gradient steps, with a ridge towards the worst window alone
@@ -352,7 +346,6 @@ def _decide(net: Network, x: np.ndarray, y: np.ndarray) -> float:
     f = 2 * (soft * y).sum(axis=1) / (y.sum() + soft.sum(axis=1))
     best = np.flatnonzero(f == f.max())
     net.threshold = float(mid[best[len(best) // 2]])
-    return float((each * (np.logaddexp(0, z) - y * z)).sum() / each.sum())
 
 
 def fit(docs: DataFrame, labels: DataFrame, toxic: int = TRAIN_TOXIC, clean: int = TRAIN_CLEAN) -> Network | None:
