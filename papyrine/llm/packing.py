@@ -1,12 +1,15 @@
 """Related-document packing.
 
-Every text becomes a short vector (signed hashing of its words, weighted by
-inverse document frequency over all texts).  A forest of random-projection trees
-proposes neighbours: texts of a leaf are compared with each other exactly, and of
-all trees the nearest are kept.  Within each cell of the first tree a path starts
-at the unvisited text of the lowest degree, goes on to the most similar unvisited
-neighbour while there is one, and starts again; windows are filled along the
-paths, and a text that doesn't fit goes on in the next window.
+Every distinct text is a sparse vector: its words, in BUCKETS hash buckets, by count
+times inverse document frequency over all texts.  A forest of TABLES sorted tables
+proposes neighbours: a table orders texts by weighted minhashes (a text's word that
+wins an exponential race by its squared weight, then that of a second and a third
+race), so that texts which share weighty words stand near each other, and is cut into
+leaves.  Texts of a leaf are compared with each other by their whole vectors, and of
+all tables the nearest are kept.
+A path starts at the unvisited text of the lowest degree, goes on to the most similar
+unvisited neighbour while there is one, and starts again.  Windows are filled along
+the paths by running totals, and a text that doesn't fit goes on in the next window.
 """
 
 from __future__ import annotations
@@ -16,22 +19,26 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from papyrine.llm.common import cut
-from papyrine.llm.text import U, mix, slices
+from papyrine.llm.text import U, lists, mix, slices
 
-DIM = 12
-BUCKETS = 1 << 16
+BITS = 18
+BUCKETS = 1 << BITS
 WINDOW_WORDS = 2048
 NEIGHBOURS = 8
-#: With these, 0.98 of the 8 nearest were found on 47 000 texts in 118 leaves a tree, about as many as 256 000 texts have.
-TREES = 8
+TABLES = 5
 LEAF = 2000
-#: Texts of a cell, which one task splits on into leaves and walks.
+#: Texts of a cell of a table, which one task cuts on into leaves.
 CELL = 8000
-MAX_CELLS = 1 << 15
+#: Products of weights that are added up at once.
+PAIRS = 2_000_000
+#: Texts whose paths one task walks (their ids and neighbours only); paths stay within such a part.
+WALK = 250_000
+RACES = 3
 SEED = 77
 
 
@@ -43,7 +50,7 @@ def frequencies(rows: DataFrame) -> tuple[np.ndarray, int]:
         for batch in batches:
             for part, w in slices(batch):
                 row = w.row_of().astype(np.uint64)
-                once = np.unique((row << U(16)) | (w.hash >> U(48)))
+                once = np.unique((row << U(BITS)) | (w.hash >> U(64 - BITS)))
                 total += np.bincount((once & U(BUCKETS - 1)).astype(np.int64), minlength=BUCKETS)
                 n += part.num_rows
         have = np.flatnonzero(total)
@@ -55,125 +62,182 @@ def frequencies(rows: DataFrame) -> tuple[np.ndarray, int]:
     return out[:-1], int(out[-1])
 
 
-def vectors(rows: DataFrame) -> DataFrame:
-    """(doc_id, uid, n_words, vec) of rows (doc_id, uid, text)."""
-    df, n = frequencies(rows)
-    idf = np.log((n + 1) / (df + 1)).astype(np.float64)
+def packed(values: np.ndarray, firsts: np.ndarray, kind: type) -> pa.Array:
+    """Whole numbers from 0 on of each row as binary; the greatest of kind says that the number goes on."""
+    most = np.iinfo(kind).max
+    more = values // most
+    ends = np.cumsum(more + 1)
+    out = np.full(int(ends[-1]) if len(ends) else 0, most, dtype=kind)
+    out[ends - 1] = values - more * most
+    at = np.concatenate([[0], ends])[firsts] * out.itemsize
+    return pa.Array.from_buffers(pa.binary(), len(firsts) - 1, [None, pa.py_buffer(at.astype(np.int32)), pa.py_buffer(out)])
+
+
+def unpacked(col: pa.Array | pa.ChunkedArray, kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers, and where each row's begin."""
+    col = col.combine_chunks() if isinstance(col, pa.ChunkedArray) else col
+    at = np.frombuffer(col.buffers()[1], np.int32)[col.offset : col.offset + len(col) + 1].astype(np.int64)
+    data = col.buffers()[2]
+    x = np.frombuffer(data, np.uint8)[at[0] : at[-1]].copy().view(kind) if len(col) and data is not None else np.zeros(0, kind)
+    ends = np.flatnonzero(x < np.iinfo(kind).max)
+    values = np.diff(np.concatenate([[0], np.cumsum(x, dtype=np.int64)[ends]]))
+    return values, np.searchsorted(ends, (at - at[0]) // np.dtype(kind).itemsize) if len(col) else np.zeros(1, np.int64)
+
+
+def race_table(tables: int) -> np.ndarray:
+    """Minus the logarithm of a random number for each race of each table and each bucket."""
+    u = np.random.default_rng(SEED).random((tables * RACES, BUCKETS), dtype=np.float32)
+    return -np.log(np.maximum(u, np.float32(1e-7)))
+
+
+def order_keys(ids: np.ndarray, bucket: np.ndarray, weight: np.ndarray, firsts: np.ndarray, races: np.ndarray) -> np.ndarray:
+    """A place in the order of every table for each row (rows, tables): the winners of its races, then its id."""
+    rows, n = np.flatnonzero(np.diff(firsts)), len(firsts) - 1
+    tables = len(races) // RACES
+    out = np.zeros((n, tables), np.uint64)
+    squared = np.maximum(weight * weight, np.float32(1e-12))
+    for r, minus_log in enumerate(races):
+        time = minus_log[bucket] / squared
+        best = np.minimum.reduceat(time, firsts[rows]) if len(rows) else time
+        won = np.flatnonzero(time == np.repeat(best, np.diff(firsts)[rows]))
+        row = np.searchsorted(firsts, won, side="right") - 1
+        won = won[np.append(True, row[1:] != row[:-1])] if len(won) else won
+        bits = (20, 16, 12)[r % RACES]
+        out[rows, r // RACES] = (out[rows, r // RACES] << U(bits)) | (mix(bucket[won].astype(np.uint64) + U(r * BUCKETS + 1)) >> U(64 - bits))
+    return (out << U(16)) | (mix(ids.view(np.uint64))[:, None] >> U(48))
+
+
+def vectors(rows: DataFrame, idf: np.ndarray, tables: int) -> DataFrame:
+    """(doc_id, id, n_words, gaps, counts, keys) of rows (doc_id, id, text) that have words."""
     shared = rows.sparkSession.sparkContext.broadcast(idf)
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        races = race_table(tables)
         for batch in batches:
             for part, w in slices(batch):
-                other = mix(w.hash + U(SEED))
-                place = w.row_of() * DIM + (other % U(DIM)).astype(np.int64)
-                sign = np.where(other >> U(63), 1.0, -1.0) * shared.value[(w.hash >> U(48)).astype(np.int64)]
-                v = np.bincount(place, weights=sign, minlength=w.rows * DIM).astype(np.float64).reshape(w.rows, DIM)
-                v /= np.maximum(np.sqrt((v * v).sum(axis=1, keepdims=True)), 1e-9)
-                flat = pa.FixedSizeListArray.from_arrays(pa.array(v.astype(np.float32).reshape(-1)), DIM).cast(pa.list_(pa.float32()))
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(np.diff(w.first)), flat], names=["doc_id", "uid", "n_words", "vec"])
-
-    return rows.mapInArrow(each, "doc_id long, uid long, n_words long, vec array<float>")
-
-
-def matrix(col: pa.Array | pa.ChunkedArray, dim: int = DIM) -> np.ndarray:
-    col = col.combine_chunks() if isinstance(col, pa.ChunkedArray) else col
-    return col.flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
-
-
-def direction(x: np.ndarray, rng: np.random.Generator) -> np.ndarray:
-    """Between two of the points, or any where those are equal."""
-    i, j = rng.integers(0, len(x), 2)
-    d = x[i] - x[j]
-    return d if np.abs(d).sum() > 1e-6 else rng.standard_normal(x.shape[1]).astype(np.float32)
-
-
-def halves(x: np.ndarray, rng: np.random.Generator, least: int) -> list[np.ndarray]:
-    """Places of x in groups of at most `least`, split at medians of random projections."""
-    todo, out = [np.arange(len(x))], []
-    while todo:
-        at = todo.pop()
-        if len(at) <= least:
-            out.append(at)
-            continue
-        order = at[np.argsort(x[at] @ direction(x[at], rng), kind="stable")]
-        todo += [order[: len(order) // 2], order[len(order) // 2 :]]
-    return out
-
-
-def grow(sample: np.ndarray, depth: int, rng: np.random.Generator) -> list[tuple[np.ndarray, np.ndarray]]:
-    """A tree of `depth` levels: at each, the directions and medians of its nodes."""
-    levels, groups = [], [sample]
-    for _ in range(depth):
-        ds, ms, nxt = [], [], []
-        for g in groups:
-            d = direction(g, rng) if len(g) else rng.standard_normal(DIM).astype(np.float32)
-            p = g @ d
-            m = np.median(p) if len(g) else 0.0
-            ds.append(d)
-            ms.append(m)
-            nxt += [g[p <= m], g[p > m]]
-        levels.append((np.array(ds), np.array(ms, dtype=np.float32)))
-        groups = nxt
-    return levels
-
-
-def cell_of(x: np.ndarray, levels: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-    node = np.zeros(len(x), np.int64)
-    for ds, ms in levels:
-        node = 2 * node + ((x * ds[node]).sum(axis=1) > ms[node])
-    return node
-
-
-def nearest(x: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """The k places (fewer in small groups) most similar to each, without itself, and their similarities."""
+                part, n = part.filter(pa.array(np.diff(w.first) > 0)), np.diff(w.first)
+                row = np.repeat(np.arange(part.num_rows, dtype=np.uint64), n[n > 0])
+                once, count = np.unique((row << U(BITS)) | (w.hash >> U(64 - BITS)), return_counts=True)
+                bucket = (once & U(BUCKETS - 1)).astype(np.int64)
+                firsts = np.searchsorted(once >> U(BITS), np.arange(part.num_rows + 1, dtype=np.uint64))
+                gap = np.diff(bucket, prepend=0)
+                gap[firsts[:-1]] = bucket[firsts[:-1]]
+                keys = order_keys(part.column(1).to_numpy(), bucket, (count * shared.value[bucket]).astype(np.float32), firsts, races)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), part.column(1), pa.array(n[n > 0]), packed(gap, firsts, np.uint16), packed(count - 1, firsts, np.uint8), lists(keys.reshape(-1).view(np.int64), np.arange(part.num_rows + 1) * tables, pa.int64())],
+                    names=["doc_id", "id", "n_words", "gaps", "counts", "keys"],
+                )
+
+    return rows.mapInArrow(each, "doc_id long, id long, n_words long, gaps binary, counts binary, keys array<long>")
+
+
+def weights(table: pa.Table, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Buckets and weights of the unit vectors of a table's rows, and where each row's begin."""
+    gap, firsts = unpacked(table.column("gaps"), np.uint16)
+    count, _ = unpacked(table.column("counts"), np.uint8)
+    total = np.cumsum(gap)
+    before = np.concatenate([[0], total])[firsts[:-1]]
+    bucket = total - np.repeat(before, np.diff(firsts))
+    w = (count + 1) * idf[bucket]
+    row = np.repeat(np.arange(len(firsts) - 1), np.diff(firsts))
+    norm = np.sqrt(np.bincount(row, weights=w * w, minlength=len(firsts) - 1))
+    return bucket, (w / np.maximum(norm, 1e-9)[row]).astype(np.float32), firsts
+
+
+def cosines(bucket: np.ndarray, weight: np.ndarray, firsts: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Cosines of some rows with each other, exactly: words of many of them by a dense product, the others by their places."""
+    n = len(rows)
+    count = np.diff(firsts)[rows]
+    flat = np.arange(count.sum()) + np.repeat(firsts[rows] - (np.cumsum(count) - count), count)
+    order = np.argsort(bucket[flat], kind="stable")
+    b, w, r = bucket[flat][order], weight[flat][order], np.repeat(np.arange(n), count)[order]
+    begin = np.flatnonzero(np.append(True, b[1:] != b[:-1])) if len(b) else np.zeros(0, np.int64)
+    d = np.diff(np.append(begin, len(b)))
+    often = d * 16 > n
+    x = np.zeros((n, int(often.sum())), np.float32)
+    mine = np.repeat(often, d)
+    x[r[mine], np.repeat(np.cumsum(often) - 1, d)[mine]] = w[mine]
     s = x @ x.T
+    rare = np.flatnonzero(~often & (d > 1))
+    cuts = np.searchsorted(np.cumsum(d[rare] ** 2), np.arange(0, (d[rare] ** 2).sum(), PAIRS))
+    for lo, hi in zip(cuts, np.append(cuts[1:], len(rare))):
+        some = rare[lo:hi]
+        left = np.repeat(np.arange(d[some].sum()) + np.repeat(begin[some] - (np.cumsum(d[some]) - d[some]), d[some]), np.repeat(d[some], d[some]))
+        each = np.repeat(d[some], d[some])
+        right = np.arange(len(left)) - np.repeat(np.cumsum(each) - each, each) + np.repeat(np.repeat(begin[some], d[some]), each)
+        s += np.bincount(r[left] * n + r[right], weights=w[left] * w[right], minlength=n * n).reshape(n, n)
+    return s
+
+
+def nearest(bucket: np.ndarray, weight: np.ndarray, firsts: np.ndarray, rows: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Among some rows the k places in `rows` (fewer in small groups) most similar to each, without itself, and their cosines."""
+    s = cosines(bucket, weight, firsts, rows)
     np.fill_diagonal(s, -np.inf)
-    k = min(k, len(x) - 1)
+    k = min(k, len(rows) - 1)
     at = np.argpartition(-s, k - 1, axis=1)[:, :k]
     return at, np.take_along_axis(s, at, axis=1)
 
 
-def forest(points: DataFrame, n: int, trees: int = TREES, k: int = NEIGHBOURS, leaf: int = LEAF, cell: int = CELL, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
-    """Cells (id, cell) of the first tree, and neighbours (id, others, sims) from all, for points (id, vec).
+def bounds(sample: np.ndarray, cells: int) -> np.ndarray:
+    """Where a sorted table's cells begin, but for the first: quantiles of a sample, as for a range partitioning."""
+    return np.quantile(np.sort(sample), np.arange(1, cells) / cells, method="lower") if len(sample) else np.zeros(0, np.uint64)
+
 
-    The upper levels come from a sample, as a range partitioning's bounds do;
-    each task splits its cells on into leaves, so every point is in one leaf of each tree.
+def neighbour_graph(points: DataFrame, n: int, idf: np.ndarray, tables: int = TABLES, k: int = NEIGHBOURS, leaf: int = LEAF, cell: int = CELL, walk_texts: int = WALK) -> DataFrame:
+    """(id, part, others): the neighbours of every distinct text, most similar first, for points as of vectors, and the part in which it is walked.
+
+    n is about the number of texts.  The bounds of cells and parts come from a
+    sample of keys; keys end in bits of the id, so that equal texts (of other
+    ids) are spread as well.
     """
     spark = points.sparkSession
-    depth = int(np.ceil(np.log2(min(MAX_CELLS, max(1, n / cell)))))
-    want = 200 * 2**depth
-    if depth:
-        sample = matrix(points.select("vec").where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < int(min(1.0, want / n) * 1_000_000) + 1).toArrow().column("vec"))
+    once = points.groupBy("id").agg(F.first(F.struct("gaps", "counts", "keys")).alias("v")).select("id", "v.*")
+    cells, parts = max(1, -(-n // cell)), max(1, -(-n // walk_texts))
+    if cells > 1:
+        share = int(min(1.0, 200 * cells / n) * 1_000_000) + 1
+        sample = points.select("keys").where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < share).toArrow().column("keys").combine_chunks().flatten().to_numpy(zero_copy_only=False).view(np.uint64).reshape(-1, tables)
     else:
-        sample = np.zeros((0, DIM), np.float32)
-    upper = [grow(sample, depth, np.random.default_rng(seed + t)) for t in range(trees)]
-    shared = spark.sparkContext.broadcast(upper)
+        sample = np.zeros((0, tables), np.uint64)
+    shared = spark.sparkContext.broadcast(([bounds(sample[:, t], cells) for t in range(tables)], bounds(sample[:, 0], parts), idf))
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = matrix(batch.column(1))
-            for t, levels in enumerate(shared.value):
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), t)), pa.array(cell_of(x, levels)), batch.column(0), batch.column(1)], names=["tree", "cell", "id", "vec"])
-
-    at = points.select("id", "vec").mapInArrow(assign, "tree long, cell long, id long, vec array<float>")
-
-    def search(key: tuple, table: pa.Table) -> pa.Table:
-        x, ids = matrix(table.column("vec")), table.column("id").to_numpy()
-        rng = np.random.default_rng([seed, key[0].as_py(), key[1].as_py()])
-        out_id, out_other, out_sim = [], [], []
-        for part in halves(x, rng, leaf):
-            if len(part) > 1:
-                to, sim = nearest(x[part], k)
-                out_id.append(np.repeat(ids[part], to.shape[1]))
-                out_other.append(ids[part][to].reshape(-1))
+            key = batch.column(3).flatten().to_numpy(zero_copy_only=False).view(np.uint64).reshape(-1, tables)
+            part = np.searchsorted(shared.value[1], key[:, 0], side="right")
+            for t in range(tables):
+                at = np.searchsorted(shared.value[0][t], key[:, t], side="right")
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), t)), pa.array(at), batch.column(0), pa.array(key[:, t].copy().view(np.int64)), pa.array(part), batch.column(1), batch.column(2)], names=["table", "cell", "id", "key", "part", "gaps", "counts"])
+
+    at = once.mapInArrow(assign, "table long, cell long, id long, key long, part long, gaps binary, counts binary")
+
+    def search(key: tuple, rows: pa.Table) -> pa.Table:
+        ids = rows.column("id").to_numpy()
+        order = np.lexsort((ids, rows.column("key").to_numpy().view(np.uint64)))
+        bucket, w, firsts = weights(rows, shared.value[2])
+        out_id, out_other, out_sim = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.float32)]
+        for some in np.array_split(order, -(-len(order) // leaf)):
+            if len(some) > 1:
+                to, sim = nearest(bucket, w, firsts, some, k)
+                out_id.append(np.repeat(ids[some], to.shape[1]))
+                out_other.append(ids[some][to].reshape(-1))
                 out_sim.append(sim.reshape(-1))
-        cat = lambda parts, kind: np.concatenate(parts) if parts else np.zeros(0, kind)
-        return pa.table({"id": cat(out_id, np.int64), "other": cat(out_other, np.int64), "sim": cat(out_sim, np.float32)})
+        edge_id, other, sim = np.concatenate(out_id), np.concatenate(out_other), np.concatenate(out_sim)
+        good = sim > 0
+        edge_id, other, sim = edge_id[good], other[good], sim[good]
+        none = ids if key[0].as_py() == 0 else ids[:0]  # a row for each text that says where it is walked
+        part = rows.column("part").combine_chunks()
+        return pa.table(
+            {
+                "id": np.concatenate([edge_id, none]),
+                "other": pa.array(np.concatenate([other, none]), mask=np.arange(len(other) + len(none)) >= len(other)),
+                "far": pa.array(np.concatenate([-sim, np.zeros(len(none), np.float32)])),
+                "part": pa.concat_arrays([pa.nulls(len(other), pa.int64()), part[: len(none)]]),
+            }
+        )
 
-    edges = at.groupBy("tree", "cell").applyInArrow(search, "id long, other long, sim float")
-    best = F.slice(F.array_sort(F.collect_set(F.struct((-F.col("sim")).alias("far"), "other"))), 1, k)
-    near = edges.groupBy("id").agg(best.alias("b")).select("id", F.col("b.other").alias("others"), F.col("b.far").alias("far"))
-    return at.where("tree = 0").select("id", "cell"), near
+    edges = at.groupBy("table", "cell").applyInArrow(search, "id long, other long, far float, part long")
+    best = F.slice(F.array_sort(F.collect_set(F.when(F.col("other").isNotNull(), F.struct("far", "other")))), 1, k)
+    return edges.groupBy("id").agg(best.alias("b"), F.max("part").alias("part")).select("id", "part", F.col("b.other").alias("others"))
 
 
 def walk(ids: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
@@ -203,57 +267,77 @@ def walk(ids: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
     return np.array(path, dtype=np.int64)
 
 
-def fill(n_words: np.ndarray, window: int) -> list[list[tuple[int, int, int]]]:
-    """Windows of (place, first word, words) that hold the texts one after another."""
-    out: list[list[tuple[int, int, int]]] = []
-    room = 0
-    for i, n in enumerate(n_words.tolist()):
-        at = 0
-        while at < n:
-            if not room:
-                out.append([])
-                room = window
-            take = min(room, n - at)
-            out[-1].append((i, at, take))
-            at += take
-            room -= take
-    return out
-
-
-def pack(docs: DataFrame, window: int = WINDOW_WORDS, k: int = NEIGHBOURS, trees: int = TREES, leaf: int = LEAF, cell: int = CELL) -> DataFrame:
+def pack(docs: DataFrame, window: int = WINDOW_WORDS, k: int = NEIGHBOURS, tables: int = TABLES, leaf: int = LEAF, cell: int = CELL, walk_texts: int = WALK) -> DataFrame:
     """(cell, window_no, n_words, doc_ids, starts, lengths): windows of `window` words.
 
     doc_ids, starts and lengths say which words of which documents a window holds,
     in order.  Every word of every text is in exactly one window; all windows of a
-    cell but its last are full.  Null and empty texts have no words and are in no
-    window; repeated rows are packed each; a null doc_id stays null.
+    cell (a part of the texts that is walked at once) but its last are full.  Copies
+    of a text stand together.  Null and empty texts have no words and are in no
+    window; repeated rows are packed each; a null doc_id stays null; neighbours that
+    are alike near stand in order of their hashes.  A very long text goes on
+    through as many windows as it needs.  An empty table gives no rows; other
+    columns are ignored.
     """
+    spark = docs.sparkSession
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("doc_id"), text).alias("uid"), text.alias("text"))
-    points = cut(vectors(rows).where("n_words > 0"))
-    once = cut(points.groupBy("uid").agg(F.first("vec").alias("vec")).select(F.col("uid").alias("id"), "vec"))
-    cells, near = forest(once, once.count(), trees, k, leaf, cell)
-    placed = points.select("doc_id", "uid", "n_words").join(cells.join(near, "id", "left"), F.col("uid") == F.col("id")).select("cell", "doc_id", "uid", "n_words", "others")
-
-    def windows(key: tuple, table: pa.Table) -> pa.Table:
-        table = table.sort_by([("uid", "ascending")])
-        uid = table.column("uid").to_numpy()
-        ids, begin = np.unique(uid, return_index=True)
-        times = np.diff(np.append(begin, len(uid)))
-        lists = table.column("others").to_pylist()
-        path = walk(ids, [np.array(lists[b] or [], dtype=np.int64) for b in begin])
-        order = np.concatenate([np.arange(begin[i], begin[i] + times[i]) for i in path])  # repeated rows stand together
-        doc = table.column("doc_id").to_pylist()
-        found = fill(table.column("n_words").to_numpy()[order], window)
-        return pa.table(
-            {
-                "cell": pa.array([key[0].as_py()] * len(found), pa.int64()),
-                "window_no": pa.array(range(len(found)), pa.int32()),
-                "n_words": pa.array([sum(x[2] for x in f) for f in found], pa.int32()),
-                "doc_ids": pa.array([[doc[order[x[0]]] for x in f] for f in found], pa.list_(pa.int64())),
-                "starts": pa.array([[x[1] for x in f] for f in found], pa.list_(pa.int32())),
-                "lengths": pa.array([[x[2] for x in f] for f in found], pa.list_(pa.int32())),
-            }
-        )
-
-    return placed.groupBy("cell").applyInArrow(windows, "cell long, window_no int, n_words int, doc_ids array<long>, starts array<int>, lengths array<int>")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("id"), text.alias("text"))
+    df, n = frequencies(rows)
+    idf = np.log((n + 1) / (df + 1))
+    points = cut(vectors(rows, idf, tables))
+    near = neighbour_graph(points, n, idf, tables, k, leaf, cell, walk_texts=walk_texts)
+
+    def paths(key: tuple, table: pa.Table) -> pa.Table:
+        table = table.sort_by([("id", "ascending")])
+        ids, others = table.column("id").to_numpy(), table.column("others").combine_chunks()
+        flat, ends = others.flatten().to_numpy(), np.concatenate([[0], np.cumsum(others.value_lengths().to_numpy())])
+        path = walk(ids, [flat[a:b] for a, b in zip(ends[:-1], ends[1:])])
+        return pa.table({"id": ids[path], "cell": pa.array(np.full(len(path), key[0].as_py())), "place": pa.array(np.arange(len(path)))})
+
+    placed = near.groupBy("part").applyInArrow(paths, "id long, cell long, place long")
+    line = points.select("doc_id", "id", "n_words").join(placed, "id").select("cell", "place", F.xxhash64("doc_id").alias("h"), "doc_id", "n_words")
+    # a text of which there are very many copies is spread over partitions as well
+    line = cut(line.repartitionByRange("cell", "place", "h").sortWithinPartitions("cell", "place", "h"))
+
+    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: dict[int, int] = {}
+        for batch in batches:
+            cells, at = np.unique(batch.column(0).to_numpy(), return_inverse=True)
+            for c, m in zip(cells.tolist(), np.bincount(at, weights=batch.column(1).to_numpy(), minlength=len(cells)).tolist()):
+                seen[c] = seen.get(c, 0) + int(m)
+        yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()] * len(seen), pa.int64()), pa.array(list(seen), pa.int64()), pa.array(list(seen.values()), pa.int64())], names=["partition", "cell", "words"])
+
+    before: dict[tuple[int, int], int] = {}
+    so_far: dict[int, int] = {}
+    for r in sorted(line.select("cell", "n_words").mapInArrow(total, "partition long, cell long, words long").toArrow().to_pylist(), key=lambda r: r["partition"]):  # a row for each partition and cell
+        before[r["partition"], r["cell"]] = so_far.get(r["cell"], 0)
+        so_far[r["cell"]] = before[r["partition"], r["cell"]] + r["words"]
+    shared = spark.sparkContext.broadcast(before)
+
+    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        here = TaskContext.get().partitionId()
+        at = {c: m for (p, c), m in shared.value.items() if p == here}
+        for batch in batches:
+            cell_, words_ = batch.column(0).to_numpy(), batch.column(2).to_numpy()
+            if not len(cell_):
+                continue
+            end = np.cumsum(words_)
+            edge = np.flatnonzero(np.append(True, cell_[1:] != cell_[:-1]))
+            offset = np.array([at[c] for c in cell_[edge].tolist()]) - (end - words_)[edge]
+            begin = end - words_ + np.repeat(offset, np.diff(np.append(edge, len(cell_))))
+            for c in cell_[edge].tolist():
+                at[c] += int(words_[cell_ == c].sum())
+            lo, hi = begin // window, (begin + words_ - 1) // window
+            many = hi - lo + 1
+            row = np.repeat(np.arange(len(cell_)), many)
+            no = lo[row] + np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many)
+            start = np.maximum(begin[row], no * window)
+            stop = np.minimum((begin + words_)[row], (no + 1) * window)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(cell_[row]), pa.array(no.astype(np.int32)), pa.array((start - no * window).astype(np.int32)), batch.column(1).take(pa.array(row)), pa.array((start - begin[row]).astype(np.int32)), pa.array((stop - start).astype(np.int32))],
+                names=["cell", "window_no", "at", "doc_id", "start", "length"],
+            )
+
+    held = line.select("cell", "doc_id", "n_words").mapInArrow(fill, "cell long, window_no int, at int, doc_id long, start int, length int")
+    windows = held.groupBy("cell", "window_no").agg(F.sum("length").cast("int").alias("n_words"), F.array_sort(F.collect_list(F.struct("at", "doc_id", "start", "length"))).alias("w"))
+    return windows.select("cell", "window_no", "n_words", F.col("w.doc_id").alias("doc_ids"), F.col("w.start").alias("starts"), F.col("w.length").alias("lengths"))

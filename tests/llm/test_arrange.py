@@ -118,16 +118,85 @@ def test_packing_keeps_every_word_once(spark):
     assert packing.pack(frame(spark, [])).count() == 0 == packing.pack(frame(spark, [None, ""])).count()
 
 
-def test_neighbour_graph_recall(spark):
-    x = clustered(seeded(34), 3000, packing.DIM)
+def cosine_neighbours(texts):
+    """The cosines of all texts by counts and inverse document frequencies of their words, over the whole vocabulary."""
+    bags = [{w: t.count(w) for w in set(t)} for t in map(words, texts)]
+    df = {}
+    for bag in bags:
+        for w in bag:
+            df[w] = df.get(w, 0) + 1
+    at = {w: i for i, w in enumerate(df)}
+    x = np.zeros((len(texts), len(df)))
+    for i, bag in enumerate(bags):
+        for w, n in bag.items():
+            x[i, at[w]] = n * np.log((len(texts) + 1) / (df[w] + 1))
     x /= np.linalg.norm(x, axis=1, keepdims=True)
-    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, vec array<float>")
-    cells, near = packing.forest(df, len(x), cell=800, leaf=200)
-    assert cells.count() == len(x) == cells.select("id").distinct().count()
     s = x @ x.T
-    np.fill_diagonal(s, -np.inf)
-    got = {r.id: r.others for r in near.collect()}
-    assert sum(len(set(got[i]) & set(np.argsort(-s[i])[:8].tolist())) for i in range(len(x))) >= 0.9 * 8 * len(x)
+    np.fill_diagonal(s, -1)
+    return s
+
+
+@pytest.mark.parametrize("cell, leaf, least", [(10**6, 10**6, 0.9), (500, 125, 0.5)])
+def test_neighbours_against_the_whole_vocabulary(spark, cell, leaf, least):
+    rng = seeded(34)
+    texts = [" ".join(f"v{int(x)}" for x in rng.zipf(1.3, 150) % 20000) for _ in range(1000)]
+    docs = frame(spark, texts)
+    rows = docs.selectExpr("doc_id", "doc_id AS id", "text")
+    df, n = packing.frequencies(rows)
+    idf = np.log((n + 1) / (df + 1))
+    found = packing.neighbour_graph(packing.vectors(rows, idf, packing.TABLES), n, idf, leaf=leaf, cell=cell).collect()
+    s = cosine_neighbours(texts)
+    assert len(found) == 1000 and {r.part for r in found} == {0}
+    hits = [len(set(r.others) & set(np.argsort(-s[r.id])[:8].tolist())) for r in found]
+    assert sum(hits) >= least * 8 * 1000
+
+
+def test_packed_numbers():
+    values, firsts = np.array([0, 5, 254, 255, 256, 70000, 65535, 1]), np.array([0, 0, 3, 3, 8])
+    for kind in (np.uint8, np.uint16):
+        back, cuts = packing.unpacked(packing.packed(values, firsts, kind), kind)
+        assert back.tolist() == values.tolist() and cuts.tolist() == firsts.tolist()
+        back, cuts = packing.unpacked(packing.packed(values, firsts, kind).slice(2), kind)
+        assert back.tolist() == values[3:].tolist() and cuts.tolist() == [0, 0, 5]
+
+
+def brute_windows(lines, window):
+    """Windows of (document, first word, words) that hold documents of so many words one after another."""
+    out, room = [], 0
+    for doc, n in lines:
+        at = 0
+        while at < n:
+            if not room:
+                out.append([])
+                room = window
+            take = min(room, n - at)
+            out[-1].append((doc, at, take))
+            at, room = at + take, room - take
+    return out
+
+
+def test_pack_against_brute_force(spark):
+    rng = seeded(36)
+    texts = [prose(rng, int(n), 150) for n in rng.integers(5, 120, 150)]
+    found = packing.pack(frame(spark, texts), window=100).orderBy("window_no").collect()
+    s, ids = cosine_neighbours(texts), [spark.sql("SELECT xxhash64(:t)", args={"t": t}).first()[0] for t in texts]
+    order = sorted(range(len(texts)), key=lambda i: ids[i])
+    others = [np.array([ids[j] for j in sorted(range(len(texts)), key=lambda j: (-np.float32(s[i, j]), ids[j]))[:8]]) for i in order]
+    want = [order[i] for i in packing.walk(np.array([ids[i] for i in order]), others)]
+    got = list(dict.fromkeys(d for r in found for d in r.doc_ids))
+    follow = sum((a, b) in set(zip(want, want[1:])) for a, b in zip(got, got[1:]))
+    assert follow >= 0.9 * len(texts)  # but for neighbours that are nearly as near
+    assert [list(zip(r.doc_ids, r.starts, r.lengths)) for r in found] == brute_windows([(d, len(words(texts[d]))) for d in got], 100)
+
+
+def test_packing_very_many_copies_and_ties(spark):
+    t, u = prose(seeded(37), 30), prose(seeded(38), 30)
+    docs = frame(spark, [t] * 500 + [u] * 3 + [" ".join(reversed(t.split()))] * 2)
+    found = packing.pack(docs, window=64, walk_texts=2).collect()
+    assert sum(r.n_words for r in found) == 505 * 30 and sorted(set(d for r in found for d in r.doc_ids)) == list(range(505))
+    for c in {r.cell for r in found}:
+        mine = sorted((r for r in found if r.cell == c), key=lambda r: r.window_no)
+        assert [r.window_no for r in mine] == list(range(len(mine))) and all(r.n_words == 64 for r in mine[:-1])
 
 
 def test_answers_search_wider_than_the_graph_was_built_with(spark):
