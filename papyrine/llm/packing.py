@@ -35,7 +35,9 @@ LEAF = 2000
 #: Texts of a cell of a table, which one task cuts on into leaves.
 CELL = 8000
 #: Products of weights that are added up at once.
-PAIRS = 2_000_000
+PAIRS = 4_000_000
+#: Words of more than a DENSEth of a leaf's texts go through the dense product.
+DENSE = 48
 #: Texts whose paths one task walks (their ids and neighbours only); paths stay within such a part.
 WALK = 250_000
 RACES = 3
@@ -62,26 +64,44 @@ def frequencies(rows: DataFrame) -> tuple[np.ndarray, int]:
     return out[:-1], int(out[-1])
 
 
-def packed(values: np.ndarray, firsts: np.ndarray, kind: type) -> pa.Array:
-    """Whole numbers from 0 on of each row as binary; the greatest of kind says that the number goes on."""
-    most = np.iinfo(kind).max
+def packed(values: np.ndarray, firsts: np.ndarray, bits: int) -> pa.Array:
+    """Whole numbers from 0 on of each row as binary, in codes of 8 or 12 bits; the greatest code says that the number goes on."""
+    most = (1 << bits) - 1
     more = values // most
     ends = np.cumsum(more + 1)
-    out = np.full(int(ends[-1]) if len(ends) else 0, most, dtype=kind)
-    out[ends - 1] = values - more * most
-    at = np.concatenate([[0], ends])[firsts] * out.itemsize
-    return pa.Array.from_buffers(pa.binary(), len(firsts) - 1, [None, pa.py_buffer(at.astype(np.int32)), pa.py_buffer(out)])
+    cuts = np.concatenate([[0], ends])[firsts]
+    odd = np.diff(cuts) % 2 if bits == 12 else np.zeros(len(firsts) - 1, np.int64)
+    pad = np.concatenate([[0], np.cumsum(odd)])  # codes without a number behind them make rows of 12 bits even
+    out = np.full(int(cuts[-1] + pad[-1]), most, dtype=np.uint16)
+    out[ends - 1 + np.repeat(pad[:-1], np.diff(firsts))] = values - more * most
+    cuts = cuts + pad
+    if bits == 8:
+        data = out.astype(np.uint8)
+    else:
+        x, y = out[0::2], out[1::2]
+        data = np.stack([x & 255, (x >> 8) | ((y & 15) << 4), y >> 4], axis=1).astype(np.uint8).reshape(-1)
+        cuts = cuts // 2 * 3
+    return pa.Array.from_buffers(pa.binary(), len(firsts) - 1, [None, pa.py_buffer(cuts.astype(np.int32)), pa.py_buffer(data)])
 
 
-def unpacked(col: pa.Array | pa.ChunkedArray, kind: type) -> tuple[np.ndarray, np.ndarray]:
+def unpacked(col: pa.Array | pa.ChunkedArray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """The numbers, and where each row's begin."""
     col = col.combine_chunks() if isinstance(col, pa.ChunkedArray) else col
-    at = np.frombuffer(col.buffers()[1], np.int32)[col.offset : col.offset + len(col) + 1].astype(np.int64)
-    data = col.buffers()[2]
-    x = np.frombuffer(data, np.uint8)[at[0] : at[-1]].copy().view(kind) if len(col) and data is not None else np.zeros(0, kind)
-    ends = np.flatnonzero(x < np.iinfo(kind).max)
-    values = np.diff(np.concatenate([[0], np.cumsum(x, dtype=np.int64)[ends]]))
-    return values, np.searchsorted(ends, (at - at[0]) // np.dtype(kind).itemsize) if len(col) else np.zeros(1, np.int64)
+    if not len(col):
+        return np.zeros(0, np.int64), np.zeros(1, np.int64)
+    cuts = np.frombuffer(col.buffers()[1], np.int32)[col.offset : col.offset + len(col) + 1].astype(np.int64)
+    data = np.frombuffer(col.buffers()[2] or b"", np.uint8)[cuts[0] : cuts[-1]].astype(np.int64)
+    cuts = cuts - cuts[0]
+    if bits == 12:
+        a, b, c = data.reshape(-1, 3).T
+        data, cuts = np.stack([a | ((b & 15) << 8), (b >> 4) | (c << 4)], axis=1).reshape(-1), cuts // 3 * 2
+    ends = np.flatnonzero(data < (1 << bits) - 1)
+    total = np.concatenate([[0], np.cumsum(data)])
+    firsts = np.searchsorted(ends, cuts)
+    before = np.concatenate([[0], ends[:-1] + 1]) if len(ends) else ends
+    have = np.diff(firsts) > 0
+    before[firsts[:-1][have]] = cuts[:-1][have]
+    return total[ends + 1] - total[before], firsts
 
 
 def race_table(tables: int) -> np.ndarray:
@@ -124,7 +144,7 @@ def vectors(rows: DataFrame, idf: np.ndarray, tables: int) -> DataFrame:
                 gap[firsts[:-1]] = bucket[firsts[:-1]]
                 keys = order_keys(part.column(1).to_numpy(), bucket, (count * shared.value[bucket]).astype(np.float32), firsts, races)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), pa.array(n[n > 0]), packed(gap, firsts, np.uint16), packed(count - 1, firsts, np.uint8), lists(keys.reshape(-1).view(np.int64), np.arange(part.num_rows + 1) * tables, pa.int64())],
+                    [part.column(0), part.column(1), pa.array(n[n > 0]), packed(gap, firsts, 12), packed(count - 1, firsts, 8), lists(keys.reshape(-1).view(np.int64), np.arange(part.num_rows + 1) * tables, pa.int64())],
                     names=["doc_id", "id", "n_words", "gaps", "counts", "keys"],
                 )
 
@@ -133,8 +153,8 @@ def vectors(rows: DataFrame, idf: np.ndarray, tables: int) -> DataFrame:
 
 def weights(table: pa.Table, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Buckets and weights of the unit vectors of a table's rows, and where each row's begin."""
-    gap, firsts = unpacked(table.column("gaps"), np.uint16)
-    count, _ = unpacked(table.column("counts"), np.uint8)
+    gap, firsts = unpacked(table.column("gaps"), 12)
+    count, _ = unpacked(table.column("counts"), 8)
     total = np.cumsum(gap)
     before = np.concatenate([[0], total])[firsts[:-1]]
     bucket = total - np.repeat(before, np.diff(firsts))
@@ -153,19 +173,22 @@ def cosines(bucket: np.ndarray, weight: np.ndarray, firsts: np.ndarray, rows: np
     b, w, r = bucket[flat][order], weight[flat][order], np.repeat(np.arange(n), count)[order]
     begin = np.flatnonzero(np.append(True, b[1:] != b[:-1])) if len(b) else np.zeros(0, np.int64)
     d = np.diff(np.append(begin, len(b)))
-    often = d * 16 > n
+    often = d * DENSE > n
     x = np.zeros((n, int(often.sum())), np.float32)
     mine = np.repeat(often, d)
     x[r[mine], np.repeat(np.cumsum(often) - 1, d)[mine]] = w[mine]
     s = x @ x.T
-    rare = np.flatnonzero(~often & (d > 1))
-    cuts = np.searchsorted(np.cumsum(d[rare] ** 2), np.arange(0, (d[rare] ** 2).sum(), PAIRS))
-    for lo, hi in zip(cuts, np.append(cuts[1:], len(rare))):
-        some = rare[lo:hi]
-        left = np.repeat(np.arange(d[some].sum()) + np.repeat(begin[some] - (np.cumsum(d[some]) - d[some]), d[some]), np.repeat(d[some], d[some]))
-        each = np.repeat(d[some], d[some])
-        right = np.arange(len(left)) - np.repeat(np.cumsum(each) - each, each) + np.repeat(np.repeat(begin[some], d[some]), each)
-        s += np.bincount(r[left] * n + r[right], weights=w[left] * w[right], minlength=n * n).reshape(n, n)
+    place = np.arange(len(b)) - np.repeat(begin, d)  # every word is paired with those of its bucket before it
+    entry = np.flatnonzero(~mine & (place > 0)).astype(np.int32)
+    r, total = r.astype(np.int32), np.cumsum(place[entry])
+    for lo in range(0, int(total[-1]) if len(total) else 0, PAIRS):
+        some = entry[np.searchsorted(total, lo, side="right") : np.searchsorted(total, lo + PAIRS, side="right")]
+        each = place[some]
+        left = np.repeat(some, each)
+        right = np.arange(len(left), dtype=np.int32) + np.repeat((some - each) - (np.cumsum(each) - each), each).astype(np.int32)
+        found = np.bincount(r[left] * np.int32(n) + r[right] if n < 46_000 else r[left].astype(np.int64) * n + r[right], weights=w[left] * w[right], minlength=n * n).reshape(n, n).astype(np.float32)
+        s += found
+        s += found.T
     return s
 
 
