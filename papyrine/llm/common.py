@@ -17,20 +17,24 @@ FILTER_IDS = 2_000_000
 DRIVER_EDGES = 1_000_000
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder in spark.checkpoint.dir; where that is unset, one of this machine's, and then only in local mode."""
+    if folder := spark.conf.get("spark.checkpoint.dir", None):
+        return folder
+    if spark.sparkContext.master.split("[")[0] != "local":
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+    return os.path.join(tempfile.gettempdir(), "papyrine-checkpoints")
+
+
 def cut(df: DataFrame) -> DataFrame:
     """df as a reliable checkpoint in the folder that the cluster names in spark.checkpoint.dir."""
     spark = df.sparkSession
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or os.path.join(tempfile.gettempdir(), "papyrine-checkpoints"))
+        sc.setCheckpointDir(shared_folder(spark))
     return df.checkpoint(eager=True)
 
 
-def uid(*cols: str | Column) -> Column:
-    """A 64-bit identity of a row's columns; null and empty text count as equal."""
-    return F.xxhash64(*cols)
-
-
 def wrapped(docs: DataFrame, **more: Column) -> DataFrame:
     """All columns of docs as one struct `row`, beside columns of our own: no names can clash."""
     return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *[c.alias(k) for k, c in more.items()])
@@ -156,26 +160,39 @@ def near_groups(keys: DataFrame, sets_of: Callable[[DataFrame], DataFrame], thre
     """(id, label): connected components of ids that share a key and are similar.
 
     keys (id, key) are the places in hash tables; sets_of(ids) gives (id, items).
-    Every pair in a bucket counts.  First each id is verified against the least
-    id that it meets in any bucket; then all pairs of a bucket whose ends those
-    edges leave in different components, so that groups of thousands of copies
+    Every pair in a bucket counts, and no bucket is ever gathered in one row or
+    task: buckets are found by their least and greatest id, counted before the
+    shuffle.  First each id is verified against the least id that it meets in any
+    bucket; then, by a join that splits large buckets, pairs of a bucket whose ends
+    those edges leave in different components, so that groups of thousands of copies
     cost about one comparison for each member and no similar pair is missed.
     """
-    buckets = cut(keys.groupBy("key").agg(F.sort_array(F.collect_set("id")).alias("ids")).where(F.size("ids") > 1).select("ids").distinct().select(F.xxhash64("ids").alias("bucket"), "ids"))
-    member = buckets.select("bucket", F.col("ids")[0].alias("least"), F.explode("ids").alias("id"))
+    buckets = cut(keys.groupBy("key").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least <> most").select("key", "least"))
+    member = cut(in_ids(keys, buckets.select("key"), "key").distinct().join(buckets, "key"))
     first = cut(member.where("id <> least").groupBy("id").agg(F.min("least").alias("b")).select(F.col("id").alias("a"), "b"))
     everyone = member.select("id").distinct()
     sets = cut(sets_of(everyone))
     sure = cut(jaccard(first, sets, threshold))
     label = components(sure)
-    at = member.select("bucket", "id").join(label, "id", "left").select("bucket", "id", F.coalesce("label", "id").alias("label"))
-    mixed = at.groupBy("bucket").agg(F.collect_list(F.struct("label", "id")).alias("who"), F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi")
-    one = mixed.select("who", F.explode("who").alias("p"))
-    pairs = (
-        one.select("p", F.explode(F.filter("who", lambda q: (q["id"] > F.col("p.id")) & (q["label"] != F.col("p.label")))).alias("q"))
-        .select(F.col("q.id").alias("a"), F.col("p.id").alias("b"))
-        .distinct()
-        .join(first, ["a", "b"], "left_anti")
-    )
+    at = member.select("key", "id").join(label, "id", "left").select("key", "id", F.coalesce("label", "id").alias("label"))
+    mixed = at.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("key")
+    one = cut(at.join(mixed, "key", "left_semi"))
+    other = one.select("key", F.col("id").alias("b"), F.col("label").alias("other"))
+    pairs = one.select("key", F.col("id").alias("a"), "label").join(other, "key").where("a > b AND label <> other").select("a", "b").distinct().join(first, ["a", "b"], "left_anti")
     rest = jaccard(pairs, sets, threshold)
     return components(sure.union(rest))
+
+
+def later(found: DataFrame, key: str, again: DataFrame | None = None) -> DataFrame:
+    """(uid, doc_id, span, kept_doc_id): rows of found (key, uid, doc_id, span) that aren't the first of their key, and the first's doc_id.
+
+    First is by doc_id (nulls last), uid and span; rows that are equal to the first
+    don't count.  The first is found by a grouped minimum, counted before the
+    shuffle, and joined back, so that no key is sorted or gathered in one task.
+    again: found once more where the keys that are repeated are to be picked before
+    a shuffle (found is then read twice).
+    """
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "uid", "span")
+    first = cut(found.groupBy(key).agg(F.min(order).alias("f"), F.count("*").alias("n")).where("n > 1").select(key, "f"))
+    rows = found if again is None else in_ids(again, first.select(key), key)
+    return rows.join(first, key).where("uid <> f.uid OR span <> f.span").select("uid", "doc_id", "span", F.col("f.doc_id").alias("kept_doc_id"))

@@ -14,7 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from papyrine.llm.common import cut, in_ids, near_groups, texts, unwrapped, wrapped
@@ -70,7 +70,9 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, shingle: int
     group has kept = true: the one of the least doc_id (nulls last, ties of
     equal ids are broken by the text's hash, and between repeated rows by
     chance); group_id is its doc_id.  Texts that are null or have no words are
-    in no group.  Texts of fewer words than a shingle are one shingle.
+    in no group.  Texts of fewer words than a shingle are one shingle; very long
+    texts are compared whole.  An empty table gives no rows; other columns are
+    ignored, whatever their names.
     """
     docs = docs.select("doc_id", "text")
     return _numbered(docs, threshold, shingle, side, half).select("doc_id", "group_id", "kept")
@@ -83,21 +85,21 @@ def _numbered(docs: DataFrame, threshold: float, shingle: int, side: int, half:
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.where(text.rlike(r"[0-9A-Za-z\x{80}-\x{10FFFF}]")).select("doc_id", F.xxhash64(text).alias("id"))
     group = rows.join(label, "id", "left").select("doc_id", "id", F.coalesce("label", "id").alias("label"))
-    w = Window.partitionBy("label")
-    order = w.orderBy(F.col("doc_id").asc_nulls_last(), "id")
+    each = group.groupBy("label", "doc_id", "id").agg(F.count("*").alias("times"))  # repeated rows are counted before they meet
+    head = each.groupBy("label").agg(F.sum("times").alias("n"), F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "id")).alias("f")).where("n > 1")
     return (
-        group.withColumn("n", F.count("*").over(w))
-        .where("n > 1")
-        .withColumn("at", F.row_number().over(order))
-        .withColumn("group_id", F.first("doc_id").over(order))
-        .select("doc_id", "id", "group_id", (F.col("at") == 1).alias("kept"))
+        each.join(head, "label")
+        .select("doc_id", "id", F.col("f.doc_id").alias("group_id"), (F.col("doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("id") == F.col("f.id"))).alias("is_head"), F.explode(F.sequence(F.lit(1), F.col("times"))).alias("copy"))
+        .select("doc_id", "id", "group_id", (F.col("is_head") & (F.col("copy") == 1)).alias("kept"))
     )
 
 
 def drop_near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, shingle: int = SHINGLE, side: int = SIDE, half: int = HALF) -> DataFrame:
     """docs without the rows that near_duplicates marks as not kept; all columns stay.
 
-    Of repeated rows with equal doc_id and text one stays.
+    Of repeated rows with equal doc_id and text one stays.  Null texts and texts
+    without words stay, whatever their ids; very long texts are compared whole; an
+    empty table stays empty.
     """
     found = cut(_numbered(docs.select("doc_id", "text"), threshold, shingle, side, half))
     key = F.xxhash64("doc_id", "id")

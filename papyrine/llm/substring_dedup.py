@@ -20,10 +20,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from papyrine.llm.common import FILTER_IDS, column, cut, in_ids, near_groups, unwrapped, wrapped
+from papyrine.llm.common import FILTER_IDS, column, cut, in_ids, later, near_groups, unwrapped, wrapped
 from papyrine.llm.text import U, Words, lists, minhashes, mix, powers, runs, signed, slices, spans
 
 PARAGRAPH_WORDS = 20
@@ -33,6 +33,8 @@ PASSAGE_WORDS = 50
 K = 16
 #: Bytes of a run's hash that are kept beside its anchor's 64 bits.
 HASH_BYTES = 5
+#: Anchors of more places are compared run by run, which no task does alone; the rows are the same.
+HOT_ROWS = 1_000_000
 #: Longer sentences are also cut between pairs of words whose hash ends in three zeros.
 LONG_SENTENCE = 12
 BANDS = 8
@@ -157,12 +159,16 @@ def repeated_sentences(rows: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(signed(h)), u, d, pa.array((at << 32) | n)], names=["key", "uid", "doc_id", "span"])
 
     found = rows.mapInArrow(each, "key long, uid long, doc_id long, span long")
-    order = Window.partitionBy("key").orderBy(F.col("doc_id").asc_nulls_last(), "uid", "span")
-    return found.select("uid", "doc_id", "span", F.rank().over(order).alias("at"), F.first("doc_id").over(order).alias("kept_doc_id")).where("at > 1").drop("at")
+    return later(found, "key", found)
 
 
-def repeated_runs(rows: DataFrame, run_words: int) -> DataFrame:
-    """(uid, doc_id, span, kept_doc_id): later occurrences of runs of run_words words, joined as far as they have an anchor in common; span is first word << 32 | words."""
+def repeated_runs(rows: DataFrame, run_words: int, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """(uid, doc_id, span, kept_doc_id): later occurrences of runs of run_words words, joined as far as they have an anchor in common; span is first word << 32 | words.
+
+    Anchors are counted first, before the shuffle; those that occur once are left
+    out, and those of more than hot_rows places are compared run by run, so that a
+    passage that a third of all texts share isn't one task's work.
+    """
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -174,7 +180,7 @@ def repeated_runs(rows: DataFrame, run_words: int) -> DataFrame:
                 hashes = pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(ends), pa.py_buffer(data)])
                 yield pa.RecordBatch.from_arrays([pa.array(signed(key)), u, d, pa.array(at.astype(np.int32)), hashes], names=["key", "uid", "doc_id", "at", "hashes"])
 
-    def later(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         none = np.iinfo(np.int64).max
         seen = [np.zeros(0, kind) for kind in (np.int64, np.uint64, np.int64, np.int64, np.int64)]  # of the last key: key, run, uid, word, doc_id of each first
         for batch in batches:
@@ -210,8 +216,27 @@ def repeated_runs(rows: DataFrame, run_words: int) -> DataFrame:
             who = pa.array(of[gone[begins]])
             yield pa.RecordBatch.from_arrays([part.column(1).take(who), part.column(2).take(who), pa.array((word[gone[begins]] << 32) | words), pa.array(kept, mask=kept == none)], names=["uid", "doc_id", "span", "kept_doc_id"])
 
+    def single(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ends = np.frombuffer(batch.column(4).buffers()[1], np.int32)[batch.column(4).offset :][: batch.num_rows + 1].astype(np.int64)
+            n = np.diff(ends) // HASH_BYTES
+            of = np.repeat(np.arange(len(n)), n)
+            h = np.zeros((len(of), 8), np.uint8)
+            if len(of):
+                h[:, :HASH_BYTES] = np.frombuffer(batch.column(4).buffers()[2], np.uint8)[ends[0] : ends[-1]].reshape(-1, HASH_BYTES)
+            key = mix(batch.column(0).to_numpy()[of].view(np.uint64) + mix(h.reshape(-1).view("<u8")))
+            word = batch.column(3).to_numpy()[of].astype(np.int64) + np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
+            yield pa.RecordBatch.from_arrays([pa.array(signed(key)), batch.column(1).take(pa.array(of)), batch.column(2).take(pa.array(of)), pa.array((word << 32) | run_words)], names=["key", "uid", "doc_id", "span"])
+
     found = rows.mapInArrow(each, "key long, uid long, doc_id long, at int, hashes binary")
-    return found.repartition("key").sortWithinPartitions("key", F.col("doc_id").asc_nulls_last(), "uid", "at").mapInArrow(later, "uid long, doc_id long, span long, kept_doc_id long")
+    counts = cut(found.groupBy("key").count().where("count > 1"))
+    some = in_ids(found, counts.where(F.col("count") <= hot_rows).select("key"), "key")
+    out = some.repartition("key").sortWithinPartitions("key", F.col("doc_id").asc_nulls_last(), "uid", "at").mapInArrow(repeats, "uid long, doc_id long, span long, kept_doc_id long")
+    hot = counts.where(F.col("count") > hot_rows).select("key")
+    if hot.isEmpty():
+        return out
+    runs_ = in_ids(found, hot, "key").mapInArrow(single, "key long, uid long, doc_id long, span long")
+    return out.unionByName(later(runs_, "key", runs_))
 
 
 def repeated_paragraphs(rows: DataFrame, paragraph_words: int, bands: int, band_rows: int, threshold: float) -> DataFrame:
@@ -273,8 +298,7 @@ def repeated_paragraphs(rows: DataFrame, paragraph_words: int, bands: int, band_
                 yield pa.RecordBatch.from_arrays([pa.array(signed(h[mine])), u, d, pa.array((at << 32) | n[mine])], names=["id", "uid", "doc_id", "span"])
 
     found = rows.mapInArrow(occurrences, "id long, uid long, doc_id long, span long").join(label, "id")
-    order = Window.partitionBy("label").orderBy(F.col("doc_id").asc_nulls_last(), "uid", "span")
-    return found.select("uid", "doc_id", "span", F.rank().over(order).alias("at"), F.first("doc_id").over(order).alias("kept_doc_id")).where("at > 1").drop("at")
+    return later(cut(found.select("label", "uid", "doc_id", "span")), "label")
 
 
 def _removals(docs: DataFrame, paragraph_words: int, run_words: int, bands: int, band_rows: int, threshold: float, passage_words: int) -> DataFrame:
@@ -325,7 +349,8 @@ def repeated_passages(docs: DataFrame, paragraph_words: int = PARAGRAPH_WORDS, r
     least passage_words words that occurs earlier, word for word, are in a row (of
     words that repeat at once, again and again, one period stays).  Rows with equal
     doc_id and text count as one document.  Null, empty and short texts have no
-    rows.
+    rows; very long texts are compared whole; an empty table gives no rows; other
+    columns are ignored, whatever their names.
     """
     found = _removals(docs, paragraph_words, run_words, bands, band_rows, threshold, passage_words)
     return found.select("doc_id", F.explode(F.arrays_zip("starts", "words", "kept")).alias("r")).select("doc_id", F.col("r.starts").alias("start_word"), F.col("r.words").alias("n_words"), F.col("r.kept").alias("kept_doc_id"))
@@ -351,7 +376,10 @@ def cut_words(text: str, starts: list[int], counts: list[int]) -> str:
 def remove_repeated(docs: DataFrame, paragraph_words: int = PARAGRAPH_WORDS, run_words: int = RUN_WORDS, bands: int = BANDS, band_rows: int = ROWS, threshold: float = THRESHOLD, passage_words: int = PASSAGE_WORDS) -> DataFrame:
     """docs without the passages that repeated_passages names; texts of which no word is left are dropped.
 
-    All columns stay; n_chars, where there is one, is brought up to date.
+    All columns stay; n_chars, where there is one, is brought up to date.  Null,
+    empty and short texts stay as they are; repeated rows (equal doc_id and text)
+    stay and are edited alike; very long texts are edited whole; an empty table
+    stays empty.
     """
     found = cut(_removals(docs, paragraph_words, run_words, bands, band_rows, threshold, passage_words).select("uid", "starts", "words"))
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))

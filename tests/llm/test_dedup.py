@@ -197,3 +197,28 @@ def test_passages_of_short_sentences_and_lines_are_found(spark, end):
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     want = brute_runs(texts, 50)
     assert found_words(found) == want and len(want) == 8
+
+
+def test_hot_anchors_are_compared_run_by_run(spark):
+    rng = seeded(11)
+    passage = broken(rng, 90, 9, ".")
+    texts = [f"{broken(rng, 20 + i % 7, 11, '.')} {passage if i % 3 else passage[: len(passage) // 2]} {broken(rng, 25, 13, '.')}" for i in range(60)] + [passage, passage, None]
+    rows = substring_dedup._rows(frame(spark, texts))
+    want = brute_runs(texts, 50)
+    for hot in (10**6, 5, 1):
+        gone = {}
+        for r in substring_dedup.repeated_runs(rows, 50, hot).collect():
+            gone.setdefault(r.doc_id, set()).update(range(r.span >> 32, (r.span >> 32) + (r.span & 0xFFFFFFFF)))
+            assert r.kept_doc_id < r.doc_id
+        assert gone == want
+
+
+def test_a_sentence_and_a_group_of_very_many(spark):
+    rng = seeded(12)
+    common = " ".join(words(prose(rng, 30, 5000))) + "."
+    texts = spark.range(20000).selectExpr("id AS doc_id", f"concat('{common} ', 'a', id, ' b', id * 7, ' c', id * 3, ' d', id, ' e', id, ' f', id, '.') AS text")
+    found = substring_dedup.repeated_sentences(substring_dedup._rows(texts))
+    assert found.count() in (19999, 39998, 59997) and found.where("kept_doc_id <> 0").isEmpty()
+    copies = spark.range(20000).selectExpr("id AS doc_id", f"'{common} {common}' AS text").union(spark.range(20000, 20300).selectExpr("id", f"concat('{common} {common} x', id)"))
+    near = near_dedup.near_duplicates(copies)
+    assert near.where("kept").count() == 1 and near.count() == 20300 and near.where("group_id <> 0").isEmpty()
