@@ -4,8 +4,8 @@ Vectors are dealt into shards; each shard gets a graph of bounded degree, grown
 batches: a greedy search proposes neighbours of every new vector, relaxed distance
 pruning keeps diverse edges (a candidate goes when a kept one is ALPHA times closer
 to it than the new vector is), and edges are added backwards under the same rule.
-A beam search of every row in every shard answers it, and the shards' answers are
-merged.
+A beam search of every query in every shard answers it, and the shards' answers are
+merged.  Queries are a stated set: by default the rows whose id is divisible by 100.
 """
 
 from __future__ import annotations
@@ -15,8 +15,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from papyrine.llm.common import cut
-
 K = 10
 DEGREE = 32
 BEAM = 64
@@ -25,8 +23,14 @@ SEARCH_BEAM = 128
 ALPHA = 1.2
 EXPAND = 4
 SHARD_ROWS = 50_000
-QUERY_ROWS = 10_000
+#: Queries that a task answers at once where they are shuffled.
+QUERY_ROWS = 500_000
+#: Queries of at most so many numbers go to all tasks as a broadcast; more are shuffled to the shards in blocks.
+BROADCAST_NUMBERS = 50_000_000
+QUERY_EVERY = 100
 SEED = 9
+FOUND = {"uid": pa.int64(), "vec_id": pa.int64(), "other": pa.int64(), "neighbour_id": pa.int64(), "d": pa.float64()}
+FOUND_SQL = "uid long, vec_id long, other long, neighbour_id long, d double"
 
 
 def _squared(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -159,29 +163,34 @@ def _backwards(x: np.ndarray, graph: np.ndarray, new: np.ndarray, degree: int, a
     src, dst = src[order], dst[order]
     nodes, begin, count = np.unique(dst, return_index=True, return_counts=True)
     place = np.arange(len(dst)) - np.repeat(begin, count)
-    wide = int(min(count.max(), 2 * degree))
-    more = np.full((len(nodes), wide), -1, dtype=np.int32)
-    fits = place < wide
-    more[np.repeat(np.arange(len(nodes)), count)[fits], place[fits]] = src[fits]
-    both = np.concatenate([graph[nodes], more], axis=1)
-    both.sort(axis=1)
-    both[:, 1:][both[:, 1:] == both[:, :-1]] = -1
-    have = (both >= 0).sum(axis=1)
-    few = np.flatnonzero(have <= degree)
-    graph[nodes[few]] = -np.sort(-both[few], axis=1)[:, :degree]
-    many = np.flatnonzero(have > degree)
-    if len(many):
-        graph[nodes[many]] = prune(x, both[many], _blocks(x, nodes[many], both[many]), degree, alpha)
-
-
-def neighbours(points: DataFrame, k: int = K, degree: int = DEGREE, beam: int = BEAM, alpha: float = ALPHA, shard_rows: int = SHARD_ROWS, query_rows: int = QUERY_ROWS, search_beam: int = SEARCH_BEAM) -> DataFrame:
-    """(vec_id, rank, neighbour_id, distance): for every row its k nearest others, from 1.
+    for lo in range(0, int(count.max()), 2 * degree):  # nodes with very many new edges take them in turns, nearest first
+        here = np.flatnonzero(count > lo)
+        wide = int(min(count.max() - lo, 2 * degree))
+        more = np.full((len(nodes), wide), -1, dtype=np.int32)
+        fits = (place >= lo) & (place < lo + wide)
+        more[np.repeat(np.arange(len(nodes)), count)[fits], place[fits] - lo] = src[fits]
+        both = np.concatenate([graph[nodes[here]], more[here]], axis=1)
+        both.sort(axis=1)
+        both[:, 1:][both[:, 1:] == both[:, :-1]] = -1
+        have = (both >= 0).sum(axis=1)
+        few = np.flatnonzero(have <= degree)
+        graph[nodes[here[few]]] = -np.sort(-both[few], axis=1)[:, :degree]
+        many = np.flatnonzero(have > degree)
+        if len(many):
+            graph[nodes[here[many]]] = prune(x, both[many], _blocks(x, nodes[here[many]], both[many]), degree, alpha)
+
+
+def neighbours(points: DataFrame, k: int = K, degree: int = DEGREE, beam: int = BEAM, alpha: float = ALPHA, shard_rows: int = SHARD_ROWS, query_rows: int = QUERY_ROWS, search_beam: int = SEARCH_BEAM, every: int = QUERY_EVERY, broadcast_numbers: int = BROADCAST_NUMBERS) -> DataFrame:
+    """(vec_id, rank, neighbour_id, distance): for every row whose id is divisible by `every` (with 1: every row) its k nearest others of all rows, from 1.
 
     Distances are Euclidean; ties stand in order of id (nulls last).  Vectors of another length
     than the most usual (the least of equals), null vectors and vectors with a
     null or non-finite part are in no answer and have none.  Repeated rows (equal
     id and vector) count once; equal vectors under other ids are neighbours at
-    distance 0.  Fewer rows than k + 1 give shorter answers.
+    distance 0.  Fewer rows than k + 1 give shorter answers; an empty table gives
+    none.  Rows with a null id are in answers, and ask only with `every` = 1.
+    Every row is in a graph; very long vectors are only a matter of memory: a
+    shard is in one task.  Other columns are ignored.
     """
     rows = points.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<float>").alias("v"))
     rows = rows.where(F.col("v").isNotNull() & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))).where(F.size("v") > 0).distinct()
@@ -189,64 +198,63 @@ def neighbours(points: DataFrame, k: int = K, degree: int = DEGREE, beam: int =
     if usual is None:
         return rows.select("vec_id", F.lit(0).alias("rank"), F.col("vec_id").alias("neighbour_id"), F.lit(0.0).alias("distance")).where("false")
     dim, n = int(usual["dim"]), int(usual["count"])
-    shards, chunks = -(-n // shard_rows), -(-n // query_rows)
+    shards = -(-n // shard_rows)
     h = F.xxhash64("vec_id", "v", F.lit(SEED))
-    rows = rows.where(F.size("v") == dim).select(F.xxhash64("vec_id", "v").alias("uid"), "vec_id", "v", F.pmod(h, F.lit(shards)).cast("int").alias("shard"), F.pmod(F.xxhash64(h), F.lit(chunks)).cast("int").alias("chunk"))
+    rows = rows.where(F.size("v") == dim).select(F.xxhash64("vec_id", "v").alias("uid"), "vec_id", "v", F.pmod(h, F.lit(shards)).cast("int").alias("shard"))
+    queries = rows if every == 1 else rows.where(F.col("vec_id") % every == 0)
+    n_queries = queries.count()
 
     def vecs(table: pa.Table, name: str) -> np.ndarray:
         return table.column(name).combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, dim).astype(np.float32)
 
-    def grow(table: pa.Table) -> pa.Table:
+    def grow(table: pa.Table) -> tuple:
+        """The shard's distinct vectors and their graph, and its rows in order of those."""
         table = table.sort_by([("uid", "ascending")])
         x, group = np.unique(vecs(table, "v"), axis=0, return_inverse=True)
         group = group.reshape(-1)
-        graph = build(x, degree, beam, alpha)
-        lead = np.unique(group, return_index=True)[1]
-        edges: list = [None] * len(group)
-        for g, i in enumerate(lead):
-            edges[i] = graph[g][graph[g] >= 0].tolist()
-        return pa.table({"shard": table.column("shard"), "node": pa.array(group.astype(np.int32)), "uid": table.column("uid"), "vec_id": table.column("vec_id"), "v": table.column("v"), "edges": pa.array(edges, pa.list_(pa.int32()))})
-
-    grown = cut(rows.groupBy("shard").applyInArrow(grow, "shard int, node int, uid long, vec_id long, v array<float>, edges array<int>"))
-    graphs = grown.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
-    asked = rows.select("uid", "vec_id", "v", "chunk").withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-
-    def answer(key: tuple, graph_rows: pa.Table, queries: pa.Table) -> pa.Table:
-        names = {"uid": pa.int64(), "vec_id": pa.int64(), "other": pa.int64(), "neighbour_id": pa.int64(), "d": pa.float64()}
-        if not graph_rows.num_rows or not queries.num_rows:
-            return pa.table({c: pa.array([], t) for c, t in names.items()})
-        graph_rows = graph_rows.sort_by([("node", "ascending"), ("vec_id", "ascending"), ("uid", "ascending")])
-        node, ids = graph_rows.column("node").to_numpy(), graph_rows.column("vec_id").to_pylist()
-        uids, x_all = graph_rows.column("uid").to_numpy(), vecs(graph_rows, "v")
-        begin, times = np.unique(node, return_index=True)[1], np.bincount(node)
-        x = x_all[begin]
-        graph = np.full((len(x), degree), -1, dtype=np.int32)
-        for g, e in zip(node.tolist(), graph_rows.column("edges").to_pylist()):
-            if e is not None:
-                graph[g, : len(e)] = e
-        entry, q = entries(x, SEED), vecs(queries, "v")
-        quid, qid = queries.column("uid").to_numpy(), queries.column("vec_id").to_pylist()
+        table = table.take(pa.array(np.lexsort((table.column("uid").to_numpy(), table.column("vec_id").fill_null(np.iinfo(np.int64).max).to_numpy(), group))))
+        return x, build(x, degree, beam, alpha), np.bincount(group), table.column("uid").to_numpy(), table.column("vec_id").to_pylist()
+
+    def answer(shard: tuple, quid: np.ndarray, qid: list, q: np.ndarray) -> pa.Table:
+        x, graph, times, uids, ids = shard
+        begin = np.cumsum(times) - times
+        entry = entries(x, SEED)
         width = min(max(search_beam, k + 1), len(x))
-        out = {c: [] for c in names}
+        out = {c: [] for c in FOUND}
         step = max(16, min(512, 40_000_000 // len(x)))
         for lo in range(0, len(q), step):
             at, _ = beam_search(x, graph, entry, q[lo : lo + step], width)
             for i, line in enumerate(at):
-                line = line[line >= 0]
-                if (times[line[: k + 1]] > 1).any():
-                    line = np.concatenate([np.arange(begin[g], begin[g] + min(times[g], k + 1)) for g in line[: k + 1]])[: 2 * k + 2]
-                else:
-                    line = begin[line[: k + 1]]
-                line = line[uids[line] != quid[lo + i]][:k]
-                d = np.sqrt(((x_all[line].astype(np.float64) - q[lo + i].astype(np.float64)) ** 2).sum(axis=1))
+                line = line[line >= 0][: k + 1]
+                of = np.repeat(line, np.minimum(times[line], k + 1))
+                line = np.concatenate([np.arange(begin[g], begin[g] + min(times[g], k + 1)) for g in line])[: 2 * k + 2] if len(of) > len(line) else begin[line]
+                of = of[: len(line)]
+                other = uids[line] != quid[lo + i]
+                line, of = line[other][:k], of[other][:k]
+                d = np.sqrt(((x[of].astype(np.float64) - q[lo + i].astype(np.float64)) ** 2).sum(axis=1))
                 out["uid"] += [quid[lo + i]] * len(line)
                 out["vec_id"] += [qid[lo + i]] * len(line)
                 out["other"] += uids[line].tolist()
                 out["neighbour_id"] += [ids[j] for j in line]
                 out["d"] += d.tolist()
-        return pa.table({c: pa.array(out[c], t) for c, t in names.items()})
+        return pa.table({c: pa.array(out[c], t) for c, t in FOUND.items()})
+
+    if n_queries * dim <= broadcast_numbers:  # neither graphs nor queries are shuffled
+        t = queries.select("uid", "vec_id", "v").toArrow()
+        asked = rows.sparkSession.sparkContext.broadcast((t.column("uid").to_numpy(), t.column("vec_id").to_pylist(), vecs(t, "v") if n_queries else np.zeros((0, dim), np.float32)))
+        found = rows.groupBy("shard").applyInArrow(lambda table: answer(grow(table), *asked.value), FOUND_SQL)
+    else:
+        chunks = -(-n_queries // query_rows)
+        chunk = F.pmod(F.xxhash64("uid", F.lit(SEED)), F.lit(chunks)).cast("int").alias("chunk")
+        graphs = rows.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
+        every_shard = queries.select("uid", "vec_id", "v", chunk).withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
+
+        def block(key: tuple, table: pa.Table, some: pa.Table) -> pa.Table:
+            if not table.num_rows or not some.num_rows:
+                return pa.table({c: pa.array([], t) for c, t in FOUND.items()})
+            return answer(grow(table), some.column("uid").to_numpy(), some.column("vec_id").to_pylist(), vecs(some, "v"))
 
-    found = graphs.groupBy("shard", "chunk").cogroup(asked.groupBy("shard", "chunk")).applyInArrow(answer, "uid long, vec_id long, other long, neighbour_id long, d double")
+        found = graphs.groupBy("shard", "chunk").cogroup(every_shard.groupBy("shard", "chunk")).applyInArrow(block, FOUND_SQL)
     best = F.slice(F.array_sort(F.collect_list(F.struct("d", "neighbour_id", "other"))), 1, k)
     merged = found.groupBy("uid").agg(F.first("vec_id").alias("vec_id"), best.alias("b"))
     return merged.select("vec_id", F.posexplode("b").alias("at", "b")).select("vec_id", (F.col("at") + 1).alias("rank"), F.col("b.neighbour_id").alias("neighbour_id"), F.col("b.d").alias("distance"))

@@ -48,12 +48,12 @@ def clustered(rng, n, dim=24, centres=12):
     return (c[rng.integers(0, centres, n)] + rng.standard_normal((n, dim))).astype(np.float32)
 
 
-@pytest.mark.parametrize("shard_rows", [10**6, 400])
-def test_neighbours_recall(spark, shard_rows):
+@pytest.mark.parametrize("shard_rows, numbers", [(10**6, 10**6), (400, 10**6), (400, 0)])
+def test_neighbours_recall(spark, shard_rows, numbers):
     x = clustered(seeded(32), 1200)
     df = spark.createDataFrame([(i, v.tolist(), "x") for i, v in enumerate(x)], "vec_id long, embedding array<float>, shard string")
     found = {}
-    for r in ann.neighbours(df, shard_rows=shard_rows, query_rows=500).collect():
+    for r in ann.neighbours(df, shard_rows=shard_rows, query_rows=500, every=1, broadcast_numbers=numbers).collect():
         found.setdefault(r.vec_id, []).append((r["rank"], r.neighbour_id, r.distance))
     d = np.sqrt(((x[:, None] - x[None]).astype(np.float64) ** 2).sum(-1))
     np.fill_diagonal(d, np.inf)
@@ -69,13 +69,13 @@ def test_neighbours_recall(spark, shard_rows):
 def test_neighbours_edges(spark):
     rows = [(1, [0.0, 0.0]), (1, [0.0, 0.0]), (2, [0.0, 0.0]), (3, [0.0, 0.0]), (4, [3.0, 4.0]), (5, None), (6, []), (7, [1.0]), (8, [1.0, None]), (9, [float("nan"), 0.0]), (None, [6.0, 8.0])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
-    found = [tuple(r) for r in ann.neighbours(df, k=3).collect()]
+    found = [tuple(r) for r in ann.neighbours(df, k=3, every=1).collect()]
     by = {i: [f[2:] for f in sorted(found, key=lambda f: f[1]) if f[0] == i] for i in (1, 2, 4, 7, None)}
     assert by[1] == [(2, 0.0), (3, 0.0), (4, 5.0)] and by[2] == [(1, 0.0), (3, 0.0), (4, 5.0)] and by[7] == []
     assert by[4] == [(1, 5.0), (2, 5.0), (3, 5.0)] and by[None] == [(4, 5.0), (1, 10.0), (2, 10.0)]
-    assert ann.neighbours(df.where("false")).count() == 0 == ann.neighbours(df.where("vec_id = 4")).count()
+    assert ann.neighbours(df.where("false")).count() == 0 == ann.neighbours(df.where("vec_id = 4"), every=1).count()
     many = spark.createDataFrame([(i, [0.5, 0.5]) for i in range(300)], "vec_id long, embedding array<float>")
-    assert ann.neighbours(many).count() == 3000
+    assert ann.neighbours(many, every=1).count() == 3000 and ann.neighbours(many).count() == 30
 
 
 def test_pruning_is_relaxed():
@@ -202,7 +202,7 @@ def test_packing_very_many_copies_and_ties(spark):
 def test_answers_search_wider_than_the_graph_was_built_with(spark):
     x = seeded(35).standard_normal((2000, 64)).astype(np.float32)
     found = {}
-    for r in ann.neighbours(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>"), degree=10).collect():
+    for r in ann.neighbours(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>"), degree=10, every=1).collect():
         found.setdefault(r.vec_id, set()).add(r.neighbour_id)
     d = ((x[:300, None] - x[None]) ** 2).sum(-1)
     d[np.arange(300), np.arange(300)] = np.inf
