@@ -17,19 +17,23 @@ import re
 from collections.abc import Iterator
 from difflib import SequenceMatcher
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from papyrine.llm.common import cut
 
-#: Parts of a host's streams that are aligned on their own first.
-PARTS = 32
-#: A slot is main content if it holds at least this share of the host's data characters.
+#: Streams (or wrappers) of a host that are aligned in one go; more are aligned in parts, and the parts' wrappers again.
+PART_STREAMS = 64
+#: A slot is main content if it holds at least this share of the characters of the host's largest data slot.
 MAIN_SHARE = 0.1
 BROADCAST_CHARS = 30_000_000
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style)\b.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>|<[!?/a-zA-Z][^<>]*\Z|([^<]+|<)", re.S | re.I)
+#: Group 6 is a "<" that may begin a tag with "<" in a quoted value: such tags are looked at by hand.
+TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style)\b.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^<>\"']++|\"[^\"<]*+\"|'[^'<]*+')*+)>|(<(?=/?[a-zA-Z]|[!?]))|([^<]+|<)", re.S | re.I)
+NAME = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)", re.S)
+SPECIAL = re.compile(r"[>\"']")
 CLASS = re.compile(r"\bclass\s*=\s*[\"']?\s*([\w-]+)", re.I)
 SQUARES = [re.compile(r"(.{%d})\1+" % n, re.S) for n in range(1, 49)]
 T = "#"
@@ -38,21 +42,74 @@ T = "#"
 Item = tuple
 
 
+class _Ends:
+    """Where tags with quoted values end; each place of a page is looked at a bounded number of times."""
+
+    def __init__(self, page: str):
+        self.page, self.none = page, set()
+        self.last = {q: page.rfind(q) for q in "<>\"'"}
+
+    def tag(self, at: int) -> int:
+        """One past the ">" of a tag whose name ends at `at`, or -1."""
+        seen = []
+        while at not in self.none:
+            seen.append(at)
+            m = SPECIAL.search(self.page, at) if at <= max(self.last[">"], self.last['"'], self.last["'"]) else None
+            if m is None:
+                break
+            if m.group() == ">":
+                return m.end()
+            if m.end() > self.last[m.group()]:  # the quote is never closed
+                break
+            at = self.page.find(m.group(), m.end()) + 1
+        self.none.update(seen)
+        return -1
+
+
 def tokens(page: str) -> list[tuple[str, str]]:
-    """(tag, "") for tags and (T, text) for texts that aren't blank; comments, scripts and styles are left out."""
+    """(tag, "") for tags and (T, text) for texts that aren't blank; comments, scripts and styles are left out.
+
+    The time is in proportion to the page, whatever stands in it.
+    """
     out: list[tuple[str, str]] = []
-    for m in TOKEN.finditer(page):
-        if m.group(3):
-            name = m.group(2) + m.group(3).lower()
-            if not m.group(2) and (c := CLASS.search(m.group(4))):
-                name += "." + c.group(1)
-            out.append((name, ""))
-        elif m.group(5):
-            text = " ".join(html_lib.unescape(m.group(5)).split())
-            if text and out and out[-1][0] == T:
-                out[-1] = (T, out[-1][1] + " " + text)
-            elif text:
-                out.append((T, text))
+    ends, begin = None, 0
+
+    def add(close: str, name: str, rest: str) -> None:
+        name = close + name.lower()
+        if not close and (c := CLASS.search(rest)):
+            name += "." + c.group(1)
+        out.append((name, ""))
+
+    def text(raw: str) -> None:
+        value = " ".join(html_lib.unescape(raw).split())
+        if value and out and out[-1][0] == T:
+            out[-1] = (T, out[-1][1] + " " + value)
+        elif value:
+            out.append((T, value))
+
+    while begin < len(page):
+        for m in TOKEN.finditer(page, begin):
+            if m.group(3):
+                add(m.group(2), m.group(3), m.group(4))
+            elif m.group(5):
+                break
+            elif m.group(6):
+                text(m.group(6))
+        else:
+            break
+        at = m.start()
+        ends = ends or _Ends(page)
+        if name := NAME.match(page, at):
+            end = ends.tag(name.end())
+            if end > 0:
+                add(name.group(1), name.group(2), page[name.end() : end - 1])
+        else:  # a declaration
+            end = page.find(">", at) + 1 if at < ends.last[">"] else -1
+        if end <= 0 and at >= ends.last["<"]:  # a tag that the page ends in
+            break
+        if end <= 0:
+            text("<")
+        begin = end if end > 0 else at + 1
     return out
 
 
@@ -67,28 +124,76 @@ def merge(a: Item, b: Item) -> Item:
     return (key, a[1] or b[1], a[2] or b[2])
 
 
+def long_square(codes: np.ndarray) -> tuple[int, list[tuple[int, int]]]:
+    """The least period over len(SQUARES) of which codes has two occurrences in a row, and where they begin and end; 0 if there is none.
+
+    A square of period p covers two places that are multiples of p apart from 0, so
+    for each p only those are compared, by how far the codes agree from there on
+    forwards and backwards (found by halving on hashes of prefixes).
+    """
+    n, least = len(codes), len(SQUARES) + 1
+    if n < 2 * least:
+        return 0, []
+    p_ = np.full(n + 1, 0x9E3779B97F4A7C15, np.uint64)
+    p_[0] = 1
+    power = np.cumprod(p_, dtype=np.uint64)
+    acc = np.concatenate([np.zeros(1, np.uint64), np.cumsum((codes.astype(np.uint64) + np.uint64(1)) * power[:n], dtype=np.uint64)])
+    for lo in range(least, n // 2 + 1, 64):
+        periods = np.arange(lo, min(lo + 64, n // 2 + 1))
+        each = (n - 1) // periods
+        p = np.repeat(periods, each)
+        i = (np.arange(len(p)) - np.repeat(np.cumsum(each) - each, each)) * p
+        j = i + p
+        same = lambda a, b, m: (acc[a + m] - acc[a]) * power[b - a] == acc[b + m] - acc[b]
+        reach = []
+        for ahead in (True, False):
+            low, high = np.zeros(len(p), np.int64), np.minimum(p, n - j) if ahead else np.minimum(p - 1, i)
+            while (low < high).any():
+                mid = (low + high + 1) // 2
+                ok = same(i, j, mid) if ahead else same(i - mid, j - mid, mid)
+                low, high = np.where(ok, mid, low), np.where(ok, high, mid - 1)
+            reach.append(low)
+        good = np.flatnonzero(reach[0] + reach[1] >= p)
+        if len(good):
+            q = int(p[good].min())
+            equal = np.append(codes[:-q] == codes[q:], False)
+            edge = np.diff(np.concatenate([[0], equal.astype(np.int8)]))
+            out, at = [], 0
+            for a, b in zip(np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist()):
+                a = max(a, at)
+                if b - a >= q:
+                    at = a + ((b - a) // q + 1) * q
+                    out.append((a, at))
+            return q, out
+    return 0, []
+
+
 def fold(items: list[Item]) -> list[Item]:
-    """items with adjacent groups of equal base as one repeated group."""
+    """items with adjacent groups of equal base as one repeated group, whatever their length; shorter ones go first."""
     period = 0
-    while period < len(SQUARES):
+    while True:
         code: dict[str, str] = {}
         s = "".join(code.setdefault(base(i[0]), chr(0x100 + len(code))) for i in items)
+        if period < len(SQUARES):
+            p, found = period + 1, [m.span() for m in SQUARES[period].finditer(s)]
+        else:
+            p, found = long_square(np.array([ord(c) for c in s]))
         out, at = [], 0
-        for m in SQUARES[period].finditer(s):
-            p = period + 1
-            if p == 1 and items[m.start()][0] == T:
+        for start, stop in found:
+            if p == 1 and items[start][0] == T:
                 continue
-            out += items[at : m.start()]
-            body = list(items[m.start() : m.start() + p])
-            for lo in range(m.start() + p, m.end(), p):
+            out += items[at:start]
+            body = list(items[start : start + p])
+            for lo in range(start + p, stop, p):
                 body = [merge(x, y) for x, y in zip(body, items[lo : lo + p])]
             out.append((body[0][0], body[0][1], True) if p == 1 else (tuple(body), False, True))
-            at = m.end()
+            at = stop
         items = out + items[at:]
+        if not at and period >= len(SQUARES):
+            return items
         period = 0 if at else period + 1  # shorter periods go first
-        if 2 * period + 1 > len(items):
-            break
-    return items
+        if 2 * (period + 1) > len(items):
+            return items
 
 
 def groups(items: list[Item] | tuple) -> dict[str, tuple]:
@@ -226,14 +331,21 @@ def wrappers(rows: DataFrame) -> DataFrame:
         rank = sorted(zip(table.column("count").to_pylist(), table.column("stream").to_pylist()), key=lambda x: (-x[0], len(x[1]), x[1]))
         return pa.table({"host": pa.array([key[0].as_py()], pa.string()), "stream": pa.array([infer([s for _, s in rank])], pa.string()), "count": pa.array([sum(c for c, _ in rank)], pa.int64())})
 
-    part = counted.withColumn("part", F.pmod(F.xxhash64("stream"), F.lit(PARTS)))
-    some = part.groupBy("host", "part").applyInArrow(aligned, "host string, stream string, count long")
-    return some.groupBy("host").applyInArrow(aligned, "host string, stream string, count long").select("host", F.col("stream").alias("wrapper"))
+    # a tree: streams are dealt into parts of about PART_STREAMS, the parts' wrappers again, until each host has one
+    while True:
+        counted = cut(counted)
+        n = counted.groupBy("host").agg(F.count("*").alias("n")).withColumn("parts", F.ceil(F.col("n") / F.lit(PART_STREAMS)))
+        one = n.agg(F.max("parts")).first()[0]
+        part = counted.join(n.select(F.col("host").alias("h"), "parts"), F.col("host").eqNullSafe(F.col("h"))).withColumn("part", F.pmod(F.xxhash64("stream"), "parts")).drop("h")
+        counted = part.groupBy("host", "part").applyInArrow(aligned, "host string, stream string, count long")
+        if one is None or one <= 1:
+            return counted.select("host", F.col("stream").alias("wrapper"))
 
 
 def _small(hosts: DataFrame) -> DataFrame:
-    """hosts, to be broadcast if its wrappers have at most BROADCAST_CHARS characters; else pages are shuffled by host."""
-    size = hosts.agg(F.sum(F.length("wrapper") + F.length("host") + 100)).first()[0] or 0
+    """hosts, to be broadcast if it has at most about BROADCAST_CHARS bytes, arrays of slots counted; else pages are shuffled by host."""
+    slots = [F.coalesce(F.size(c), F.lit(0)) * 8 for c in ("constant", "main") if c in hosts.columns]
+    size = hosts.agg(F.sum(sum(slots, F.length("wrapper") + F.length("host") + 100))).first()[0] or 0
     return F.broadcast(hosts) if size <= BROADCAST_CHARS else hosts
 
 
@@ -256,7 +368,9 @@ def extract(pages: DataFrame, main_share: float = MAIN_SHARE) -> DataFrame:
     host's main slots, a line each.  Text that a slot holds alike on all of two or
     more pages of the host is template and left out.  Null html counts as empty: no fields,
     content ''.  Pages without a host in their url share the host ''.  Repeated rows
-    are extracted each.
+    are extracted each; null ids are carried; pages that are alike often enough
+    count as often.  A very long page is read whole, in time in proportion to its
+    length.  An empty table gives no rows; other columns are ignored.
     """
     hosts = F.coalesce(F.lower(F.regexp_extract(F.coalesce(F.col("url").cast("string"), F.lit("")), r"^\s*(?i:[a-z][a-z0-9+.-]*:)?//(?:[^/@?#]*@)?([^/:?#]+)", 1)), F.lit(""))
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), hosts.alias("host"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
@@ -282,9 +396,9 @@ def extract(pages: DataFrame, main_share: float = MAIN_SHARE) -> DataFrame:
     slots = joined.select("host", "html", "wrapper").mapInArrow(measure, "host string, slot int, lo string, hi string, n long, chars long")
     each = slots.groupBy("host", "slot").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.sum("n").alias("n"), F.sum("chars").alias("chars"))
     role = each.withColumn("constant", (F.col("lo") == F.col("hi")) & (F.col("n") > 1) & (F.col("slot") >= 0))
-    total = F.sum(F.when(F.col("constant"), 0).otherwise(F.col("chars")))
-    role = role.groupBy("host").agg(F.collect_list(F.struct("slot", "constant", "chars")).alias("s"), total.alias("total"))
-    role = role.select("host", F.transform(F.filter("s", lambda x: x["constant"]), lambda x: x["slot"]).alias("constant"), F.transform(F.filter("s", lambda x: ~x["constant"] & (x["chars"] >= F.col("total") * F.lit(main_share))), lambda x: x["slot"]).alias("main"))
+    largest = F.max(F.when(F.col("constant"), 0).otherwise(F.col("chars")))
+    role = role.groupBy("host").agg(F.collect_list(F.struct("slot", "constant", "chars")).alias("s"), largest.alias("largest"))
+    role = role.select("host", F.transform(F.filter("s", lambda x: x["constant"]), lambda x: x["slot"]).alias("constant"), F.transform(F.filter("s", lambda x: ~x["constant"] & (x["chars"] >= F.col("largest") * F.lit(main_share))), lambda x: x["slot"]).alias("main"))
     ready = rows.join(_small(cut(known.join(role, "host", "left"))), "host").select("page_id", "host", "html", "wrapper", "constant", "main")
 
     def fields(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

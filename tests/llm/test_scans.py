@@ -1,3 +1,5 @@
+import time
+
 import numpy as np
 from llm.helpers import frame, prose, seeded, words
 
@@ -109,3 +111,51 @@ def test_a_wrapper_matches_what_it_is_made_of():
     for w in (one, half):
         assert all(w.parse(s)[0] for s in streams)
         assert not w.parse(streams[0] + ["table"])[0] and len(w.parse(streams[0])[1]) == streams[0].count("#")
+
+
+def test_tokens_of_hostile_pages_in_time():
+    for bad in ('<a "', "<a '\"", "<!", "<b x='", "</", '<a "<b">'):
+        began = time.perf_counter()
+        html_wrappers.tokens(bad * 20000)
+        assert time.perf_counter() - began < 3, bad
+    assert html_wrappers.tokens('<a href="x>y<z" class=k>t</a>') == [("a.k", ""), ("#", "t"), ("/a", "")]
+    assert html_wrappers.tokens('<p>a < b "c" <i>d') == [("p", ""), ("#", 'a < b "c"'), ("i", ""), ("#", "d")]
+
+
+def brute_fold(s):
+    """A string with its squares folded: shortest first, from the left; (body)+ as one new sign each."""
+    items, period = list(s), 1
+    while 2 * period <= len(items):
+        out, i = [], 0
+        while i < len(items):
+            body, times = items[i : i + period], 1
+            while len(body) == period and items[i + times * period : i + (times + 1) * period] == body:
+                times += 1
+            if times > 1:
+                out.append(body[0] if period == 1 else "(" + " ".join(body) + ")")
+                i += times * period
+            else:
+                out.append(items[i])
+                i += 1
+        items, period = out, 1 if len(out) < len(items) else period + 1
+    return items
+
+
+def test_folding_against_brute_force():
+    rng = seeded(15)
+    for n in (10, 40, 150):
+        for _ in range(15):
+            s = "".join(chr(97 + int(x)) for x in rng.integers(0, 3, n))
+            assert [html_wrappers.base(k) for k, _, _ in html_wrappers.fold([(c, False, False) for c in s])] == brute_fold(s)
+    for period in (47, 48, 49, 64, 150, 700):
+        body = [f"t{i}" for i in range(period)]
+        folded = html_wrappers.fold([(c, False, False) for c in ["x", *body * 5, "y"]])
+        assert len(folded) == 3 and len(folded[1][0]) == period and folded[1][2]
+
+
+def test_hosts_of_many_different_pages(spark):
+    rng = seeded(16)
+    pages = [(i, "http://h/", "<div>" + "".join(f"<{t}>{i}</{t}>" for t in rng.permutation(["b", "i", "u", "em", "h2"])[: 1 + i % 5]) + "</div>") for i in range(300)]
+    found = html_wrappers.extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()
+    assert len(found) == 300 and len({r.wrapper for r in found}) == 1 and all(r.matched for r in found)
+    assert all(r.fields == [str(r.page_id)] * (1 + r.page_id % 5) for r in found)
