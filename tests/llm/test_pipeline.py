@@ -44,3 +44,25 @@ def test_stages(spark, tmp_path):
         for d, n in zip(r.doc_ids, r.lengths):
             got[d] = got.get(d, 0) + n
     assert got == want
+
+
+def test_empty_tables_repeated_rows_and_clashing_columns(spark, tmp_path):
+    rng = seeded(43)
+    t = prose(rng, 60)
+    texts, ids = [t, t, t, None, "", prose(rng, 5000), "one two"], [1, 1, None, 2, 3, 4, 5]
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    bench = spark.createDataFrame([], "item_id long, text string")
+    for name, docs in (("a", frame(spark, texts, ids, clashing=True)), ("b", frame(spark, []))):
+        at = tmp_path / name
+        for table, df in (("documents", docs), ("labels", labels), ("benchmark", bench)):
+            df.write.parquet(f"{at}/{table}.parquet")
+        windows = corpus_pipeline.run(spark, str(at)).collect()
+        seen = {}
+        for r in windows:
+            for d, n in zip(r.doc_ids, r.lengths):
+                seen[d] = seen.get(d, 0) + n
+        assert seen == ({1: 60, 4: 5000, 5: 2} if name == "a" else {})
+        read = spark.read.parquet(f"{at}/documents.parquet")
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            out = stage(spark, read, str(at))
+            assert out.columns == docs.columns and {r.doc_id for r in out.collect() if not r.text} >= ({2, 3} if name == "a" else set())
