@@ -55,32 +55,58 @@ def column(df: DataFrame, name: str) -> np.ndarray:
     return df.select(F.col(name).cast("long").alias(name)).where(F.col(name).isNotNull()).toArrow().column(name).to_numpy()
 
 
+def _sent(ids: DataFrame, key: str, limit: int):
+    """Distinct ids as a column of that name, and those as a sorted broadcast (None beyond the limit)."""
+    ids = ids.select(F.col(ids.columns[0]).alias(key)).distinct()
+    head = column(ids.limit(limit + 1), key)
+    return ids, ids.sparkSession.sparkContext.broadcast(np.sort(head)) if len(head) <= limit else None
+
+
+def _among(batch: pa.RecordBatch, key: str, have: np.ndarray, anti: bool = False) -> pa.RecordBatch:
+    col = batch.column(batch.schema.get_field_index(key))
+    mine = col.fill_null(0).to_numpy(zero_copy_only=False)
+    at = np.searchsorted(have, mine)
+    hit = (have[np.minimum(at, len(have) - 1)] == mine) if len(have) else np.zeros(len(mine), bool)
+    hit &= ~col.is_null().to_numpy(zero_copy_only=False)
+    return batch.filter(pa.array(hit != anti))
+
+
 def in_ids(df: DataFrame, ids: DataFrame, key: str = "id", limit: int = FILTER_IDS, anti: bool = False) -> DataFrame:
     """Rows of df whose key is (with anti: is not) in ids.
 
     Up to `limit` ids go to the tasks as a sorted array, so that df isn't
     shuffled; beyond, it is a shuffled semi-join.  The rows are the same.
     """
-    spark = df.sparkSession
-    ids = ids.select(F.col(ids.columns[0]).alias(key)).distinct()
-    head = column(ids.limit(limit + 1), key)
-    if len(head) > limit:
+    ids, known = _sent(ids, key, limit)
+    if known is None:
         return df.join(ids, key, "left_anti" if anti else "left_semi")
-    known = spark.sparkContext.broadcast(np.sort(head))
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        have = known.value
         for batch in batches:
-            col = batch.column(batch.schema.get_field_index(key))
-            mine = col.fill_null(0).to_numpy(zero_copy_only=False)
-            at = np.searchsorted(have, mine)
-            hit = (have[np.minimum(at, len(have) - 1)] == mine) if len(have) else np.zeros(len(mine), bool)
-            hit &= ~col.is_null().to_numpy(zero_copy_only=False)
-            yield batch.filter(pa.array(hit != anti))
+            yield _among(batch, key, known.value, anti)
 
     return df.mapInArrow(keep, df.schema)
 
 
+def mapped(rows: DataFrame, each: Callable, schema: str, ids: DataFrame | None = None, key: str = "key", limit: int = FILTER_IDS) -> DataFrame:
+    """rows.mapInArrow(each, schema); with ids, only those of its rows whose key is in ids.
+
+    The rows are those of in_ids, but ids that can be sent are looked up where
+    `each` runs: a second Python worker a task would cost memory and a copy of all rows.
+    """
+    if ids is None:
+        return rows.mapInArrow(each, schema)
+    ids, known = _sent(ids, key, limit)
+    if known is None:
+        return rows.mapInArrow(each, schema).join(ids, key, "left_semi")
+
+    def some(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in each(batches):
+            yield _among(batch, key, known.value)
+
+    return rows.mapInArrow(some, schema)
+
+
 def _union_find(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The ends of edges and the least end that each is connected with."""
     ids, at = np.unique(np.concatenate([a, b]), return_inverse=True)
@@ -156,10 +182,11 @@ def jaccard(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     )
 
 
-def near_groups(keys: DataFrame, sets_of: Callable[[DataFrame], DataFrame], threshold: float) -> DataFrame:
+def near_groups(keys: Callable[..., DataFrame], sets_of: Callable[[DataFrame], DataFrame], threshold: float) -> DataFrame:
     """(id, label): connected components of ids that share a key and are similar.
 
-    keys (id, key) are the places in hash tables; sets_of(ids) gives (id, items).
+    keys() gives (id, key), the places in hash tables, keys(ids) those with these
+    keys, and sets_of(ids) gives (id, items).
     Every pair in a bucket counts, and no bucket is ever gathered in one row or
     task: buckets are found by their least and greatest id, counted before the
     shuffle.  First each id is verified against the least id that it meets in any
@@ -167,8 +194,8 @@ def near_groups(keys: DataFrame, sets_of: Callable[[DataFrame], DataFrame], thre
     those edges leave in different components, so that groups of thousands of copies
     cost about one comparison for each member and no similar pair is missed.
     """
-    buckets = cut(keys.groupBy("key").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least <> most").select("key", "least"))
-    member = cut(in_ids(keys, buckets.select("key"), "key").distinct().join(buckets, "key"))
+    buckets = cut(keys().groupBy("key").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least <> most").select("key", "least"))
+    member = cut(keys(buckets.select("key")).distinct().join(buckets, "key"))
     first = cut(member.where("id <> least").groupBy("id").agg(F.min("least").alias("b")).select(F.col("id").alias("a"), "b"))
     everyone = member.select("id").distinct()
     sets = cut(sets_of(everyone))
@@ -183,16 +210,16 @@ def near_groups(keys: DataFrame, sets_of: Callable[[DataFrame], DataFrame], thre
     return components(sure.union(rest))
 
 
-def later(found: DataFrame, key: str, again: DataFrame | None = None) -> DataFrame:
+def later(found: DataFrame, key: str, again: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """(uid, doc_id, span, kept_doc_id): rows of found (key, uid, doc_id, span) that aren't the first of their key, and the first's doc_id.
 
     First is by doc_id (nulls last), uid and span; rows that are equal to the first
     don't count.  The first is found by a grouped minimum, counted before the
     shuffle, and joined back, so that no key is sorted or gathered in one task.
-    again: found once more where the keys that are repeated are to be picked before
-    a shuffle (found is then read twice).
+    again(keys): the rows of found with these keys, where those that are repeated are
+    to be picked before a shuffle (found is then read twice).
     """
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "uid", "span")
     first = cut(found.groupBy(key).agg(F.min(order).alias("f"), F.count("*").alias("n")).where("n > 1").select(key, "f"))
-    rows = found if again is None else in_ids(again, first.select(key), key)
+    rows = found if again is None else again(first.select(key))
     return rows.join(first, key).where("uid <> f.uid OR span <> f.span").select("uid", "doc_id", "span", F.col("f.doc_id").alias("kept_doc_id"))

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from papyrine.llm.common import cut, in_ids, near_groups, texts, unwrapped, wrapped
+from papyrine.llm.common import cut, in_ids, mapped, near_groups, texts, unwrapped, wrapped
 from papyrine.llm.text import U, grams, lists, minhashes, mix, signed, slices
 
 SHINGLE = 3
@@ -27,8 +27,8 @@ THRESHOLD = 0.5
 SEED = 11
 
 
-def tensored_keys(docs: DataFrame, shingle: int = SHINGLE, side: int = SIDE, half: int = HALF, seed: int = SEED) -> DataFrame:
-    """(id, key) for each of the side * side tables of every document that has words."""
+def tensored_keys(docs: DataFrame, shingle: int = SHINGLE, side: int = SIDE, half: int = HALF, seed: int = SEED, ids: DataFrame | None = None) -> DataFrame:
+    """(id, key) for each of the side * side tables of every document that has words; with ids, those whose key is among them."""
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -44,7 +44,7 @@ def tensored_keys(docs: DataFrame, shingle: int = SHINGLE, side: int = SIDE, hal
                 ids = part.column(0).to_numpy(zero_copy_only=False)[rows]
                 yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids, side * side)), pa.array(signed(key.reshape(-1)))], names=["id", "key"])
 
-    return texts(docs).mapInArrow(keys, "id long, key long")
+    return mapped(texts(docs), keys, "id long, key long", ids)
 
 
 def shingle_sets(docs: DataFrame, ids: DataFrame, shingle: int = SHINGLE) -> DataFrame:
@@ -80,7 +80,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, shingle: int
 
 def _numbered(docs: DataFrame, threshold: float, shingle: int, side: int, half: int) -> DataFrame:
     """(doc_id, id, group_id, kept) of the rows in groups of at least two."""
-    keys = tensored_keys(docs, shingle, side, half)
+    keys = lambda ids=None: tensored_keys(docs, shingle, side, half, ids=ids)
     label = cut(near_groups(keys, lambda ids: shingle_sets(docs, ids, shingle), threshold))
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.where(text.rlike(r"[0-9A-Za-z\x{80}-\x{10FFFF}]")).select("doc_id", F.xxhash64(text).alias("id"))

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from papyrine.llm.common import FILTER_IDS, column, cut, in_ids, later, near_groups, unwrapped, wrapped
+from papyrine.llm.common import FILTER_IDS, column, cut, in_ids, later, mapped, near_groups, unwrapped, wrapped
 from papyrine.llm.text import U, Words, lists, minhashes, mix, powers, runs, signed, slices, spans
 
 PARAGRAPH_WORDS = 20
@@ -158,8 +158,8 @@ def repeated_sentences(rows: DataFrame) -> DataFrame:
                 u, d, at = _place(part, w, start)
                 yield pa.RecordBatch.from_arrays([pa.array(signed(h)), u, d, pa.array((at << 32) | n)], names=["key", "uid", "doc_id", "span"])
 
-    found = rows.mapInArrow(each, "key long, uid long, doc_id long, span long")
-    return later(found, "key", found)
+    found = lambda ids=None: mapped(rows, each, "key long, uid long, doc_id long, span long", ids)
+    return later(found(), "key", found)
 
 
 def repeated_runs(rows: DataFrame, run_words: int, hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -228,15 +228,15 @@ def repeated_runs(rows: DataFrame, run_words: int, hot_rows: int = HOT_ROWS) ->
             word = batch.column(3).to_numpy()[of].astype(np.int64) + np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
             yield pa.RecordBatch.from_arrays([pa.array(signed(key)), batch.column(1).take(pa.array(of)), batch.column(2).take(pa.array(of)), pa.array((word << 32) | run_words)], names=["key", "uid", "doc_id", "span"])
 
-    found = rows.mapInArrow(each, "key long, uid long, doc_id long, at int, hashes binary")
-    counts = cut(found.groupBy("key").count().where("count > 1"))
-    some = in_ids(found, counts.where(F.col("count") <= hot_rows).select("key"), "key")
+    found = lambda ids=None: mapped(rows, each, "key long, uid long, doc_id long, at int, hashes binary", ids)
+    counts = cut(found().select("key").groupBy("key").count().where("count > 1"))
+    some = found(counts.where(F.col("count") <= hot_rows).select("key"))
     out = some.repartition("key").sortWithinPartitions("key", F.col("doc_id").asc_nulls_last(), "uid", "at").mapInArrow(repeats, "uid long, doc_id long, span long, kept_doc_id long")
     hot = counts.where(F.col("count") > hot_rows).select("key")
     if hot.isEmpty():
         return out
-    runs_ = in_ids(found, hot, "key").mapInArrow(single, "key long, uid long, doc_id long, span long")
-    return out.unionByName(later(runs_, "key", runs_))
+    runs_ = found(hot).mapInArrow(single, "key long, uid long, doc_id long, span long")
+    return out.unionByName(later(runs_, "key", lambda ids: in_ids(runs_, ids, "key")))
 
 
 def repeated_paragraphs(rows: DataFrame, paragraph_words: int, bands: int, band_rows: int, threshold: float) -> DataFrame:
@@ -286,7 +286,7 @@ def repeated_paragraphs(rows: DataFrame, paragraph_words: int, bands: int, band_
         out = rows.select("text").mapInArrow(sets, "id long, items array<int>").dropDuplicates(["id"])
         return out if known is not None else out.join(ids, "id", "left_semi")
 
-    label = cut(near_groups(rows.select("text").mapInArrow(keys, "id long, key long"), sets_of, threshold))
+    label = cut(near_groups(lambda ids=None: mapped(rows.select("text"), keys, "id long, key long", ids), sets_of, threshold))
     known = chosen(label.select("id"))
 
     def occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
