@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import argparse
 import sys
-from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -25,7 +24,7 @@ def scrape(spark: SparkSession, source: str, query: str, max_results: int = 100,
             if docs.isEmpty():
                 say(f"{name}: no results")
                 continue
-            path = Path(output) if output else storage.default_output_path(settings.output_dir, name)
+            path = output or storage.default_output_path(settings.output_dir, name)
             n = storage.append_documents(path, docs)
         finally:
             docs.unpersist()
@@ -62,7 +61,7 @@ def main(argv: list[str] | None = None) -> int:
         return 0
     spark = SparkSession.builder.config("spark.sql.session.timeZone", "UTC").getOrCreate()
     if args.command == "count":
-        if not Path(args.file).exists():
+        if not storage.exists(spark, args.file):
             parser.error(f"no such path: {args.file}")
         print(f"{storage.count_documents(spark, args.file)} documents in {args.file}")
         return 0

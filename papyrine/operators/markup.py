@@ -53,14 +53,21 @@ class Node:
 
     def walk(self):
         """Elements below this one, in the order of the page."""
-        for c in self.children:
-            if isinstance(c, Node):
+        todo = self.children[::-1]  # a stack of our own: pages nest deeper than calls may
+        while todo:
+            if isinstance(c := todo.pop(), Node):
                 yield c
-                yield from c.walk()
+                todo.extend(reversed(c.children))
 
     def text(self) -> str:
         """All texts below, each stripped, with nothing between."""
-        return "".join(c.text() if isinstance(c, Node) else c.strip() for c in self.children)
+        out, todo = [], self.children[::-1]
+        while todo:
+            if isinstance(c := todo.pop(), Node):
+                todo.extend(reversed(c.children))
+            else:
+                out.append(c.strip())
+        return "".join(out)
 
     def has(self, cls: str) -> bool:
         return cls in self.attrs.get("class", "").split()

@@ -7,17 +7,18 @@ operator to all of it.
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from papyrine import plans
+from papyrine import plans, storage
 from papyrine.functions import scalars as S
 from papyrine.operators import mappers
 from papyrine.operators.markup import first_text
-from papyrine.schema import DOCUMENT, as_document, validate
-from papyrine.storage import TIMESTAMP
+from papyrine.schema import as_document, validate
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -161,6 +162,15 @@ def xml_mapper(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("title", "abstract", F.col("identifiers")[0]["value"].alias("patent_number"), F.col("authors")[0]["name"].alias("applicant"), F.col("publication_date").cast("string").alias("publication_date"))
 
 
+@query("""SELECT 'q' || p_partkey || trim(p_brand) AS title, CASE WHEN p_size % 2 = 0 THEN trim(p_name) END AS abstract, 'EP' || p_partkey || 'A1' AS patent_number, 'https://patents.google.com/patent/EP' || p_partkey || 'A1/en' AS full_text_url FROM part""")
+def html_mapper(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i = F.col("p_partkey").cast("string")
+    snippet = F.when(F.pmod("p_size", F.lit(2)) == 0, F.concat(F.lit('<p class="abstract"> '), F.trim("p_name"), F.lit(" </p>"))).otherwise("")
+    page = F.concat(F.lit('<html><div><article class="x result"><h3>q'), i, F.lit(" <i> "), F.trim("p_brand"), F.lit('</i></h3><a href="/other">no</a><a href="/patent/EP'), i, F.lit('A1/en">link</a>'), snippet, F.lit("</article></div><article>none</article></html>"))
+    docs = mappers.search_html(table(spark, sf_dir, "part").select(page.alias("payload")))
+    return docs.select("title", "abstract", F.col("identifiers")[0]["value"].alias("patent_number"), "full_text_url")
+
+
 @query("""SELECT 'd' || doc_id AS title, lang || ' ' || source AS authors, 'pmid' AS kind, doc_id::VARCHAR AS pmid, '2024-03-01' AS publication_date, 'Drug' AS entity FROM documents""")
 def medline_mapper(spark: SparkSession, sf_dir: str) -> DataFrame:
     i = F.col("doc_id").cast("string")
@@ -202,13 +212,25 @@ def normalized_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat(validate(_documents(spark, sf_dir).where(S.present(F.col("title")))))
 
 
-@query(NORMALIZED)
+@query(f"SELECT *, count(*) OVER () AS appended, count(*) OVER () AS counted FROM ({NORMALIZED})")
 def doc_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """JSON lines and back: what storage writes and reads."""
+    """Appended to JSON Lines files in two writes, counted, and read again."""
     docs = _documents(spark, sf_dir).where(S.present(F.col("title")))
-    line = F.to_json(F.struct(*docs.columns), {"ignoreNullFields": "false", "timestampFormat": TIMESTAMP})
-    back = docs.select(F.from_json(line, DOCUMENT, {"timestampFormat": TIMESTAMP}).alias("d")).select("d.*")
-    return _flat(validate(back.where(F.col("scraped_at") == F.lit("2024-01-01 00:00:00.123456").cast("timestamp"))))
+    sc = spark.sparkContext
+    if sc.getCheckpointDir() is None:
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="papyrine-"))
+    path = f"{sc.getCheckpointDir()}/{uuid.uuid4().hex}.jsonl"
+    english = F.array_contains("keywords", "en")
+    appended = storage.append_documents(path, docs.where(english)) + storage.append_documents(path, docs.where(~english))
+    counted = storage.count_documents(spark, path)
+    back = storage.read_documents(spark, path).where(F.col("scraped_at") == F.lit("2024-01-01 00:00:00.123456").cast("timestamp"))
+    out = _flat(back).withColumns({"appended": F.lit(appended).cast("long"), "counted": F.lit(counted).cast("long")}).checkpoint(eager=True)
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+    return out
 
 
 @query("""SELECT doc_id::VARCHAR AS pmid, CASE WHEN doc_id % 3 = 0 THEN 'source' WHEN doc_id % 3 = 1 THEN 'title' ELSE '' END AS errors FROM documents""")

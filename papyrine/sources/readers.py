@@ -35,9 +35,9 @@ class _Reader(DataSourceReader):
         self.limit = int(self.o.get("max_results", 100))
         self.bounds = (self.o.get("date_from") or None, self.o.get("date_to") or None)
 
-    def limiter(self, sharers: int = 1) -> RateLimiter:
+    def limiter(self) -> RateLimiter:
         rate = float(self.o.get("rate", self.rate))
-        return RateLimiter(rate / sharers if rate > 0 else 1e9)
+        return RateLimiter(rate if rate > 0 else 1e9)
 
     def send(self, request: dict) -> tuple[int, str]:
         return load(self.o.get("transport", "papyrine.sources.transport:http"))(request)
@@ -51,7 +51,11 @@ class _Reader(DataSourceReader):
 
 
 class PubmedReader(_Reader):
-    """A counting request, then ranges of 500 raw records; max_results bounds raw records."""
+    """A counting request, then ranges of 500 raw records; max_results bounds raw records.
+
+    The ranges are one partition: tasks can't share a limiter, and the service
+    allows few requests a second in all.
+    """
 
     def __init__(self, options):
         super().__init__(options)
@@ -64,18 +68,20 @@ class PubmedReader(_Reader):
             raise RequestFailed(f"search gave status {status}")
         found = json.loads(body)["esearchresult"]
         n = min(int(found["count"]), self.limit)
-        cuts = range(0, n, PUBMED_BATCH)
-        return [InputPartition((k, lo, min(PUBMED_BATCH, n - lo), len(cuts), found["webenv"], found["querykey"])) for k, lo in enumerate(cuts)]
+        return [InputPartition((n, found["webenv"], found["querykey"]))]
 
     def read(self, partition) -> Iterator[Row]:
-        page, start, size, sharers, web_env, key = partition.value
-        self.limiter(sharers).wait()
-        status, body = self.send(R.pubmed_fetch(web_env, key, start, size, *self.who))
-        if status != 200:
-            raise RequestFailed(f"fetch gave status {status}")
-        records = [r for r in re.split(r"\r?\n[^\S\n]*\r?\n", body) if r.strip()]
-        for seq, record in enumerate(records):
-            yield page, seq, record.strip("\r\n")
+        n, web_env, key = partition.value
+        pace = self.limiter()
+        pace.wait()  # the counting request was just sent
+        for page, start in enumerate(range(0, n, PUBMED_BATCH)):
+            pace.wait()
+            status, body = self.send(R.pubmed_fetch(web_env, key, start, min(PUBMED_BATCH, n - start), *self.who))
+            if status != 200:
+                raise RequestFailed(f"fetch gave status {status}")
+            records = [r for r in re.split(r"\r?\n[^\S\n]*\r?\n", body) if r.strip()]
+            for seq, record in enumerate(records):
+                yield page, seq, record.strip("\r\n")
 
 
 class UsptoReader(_Reader):

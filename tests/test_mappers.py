@@ -132,3 +132,10 @@ def test_search_html(spark):
     assert c.title == "w" * 200 and c.identifiers == [] and c.full_text_url is None and c.abstract is None
     assert [r["title"] for r in html_results('<li data-result="1"><h3>Z</h3></li>')] == ["Z"]
     assert html_results("<div></div>") == []
+
+
+def test_deep_pages():
+    from papyrine.operators.markup import first_text, html_results
+
+    page = '<article class="result">' + "<div>" * 5000 + "<h3>a<b>c</b></h3>" + "</div>" * 5000 + "</article>"
+    assert html_results(page)[0]["title"] == "ac" and first_text(page, "h3") == "ac"

@@ -33,6 +33,17 @@ def test_pubmed_ranges():
     assert len(rows) == 1100 and rows[0][2].startswith("PMID- 0")
 
 
+def test_pubmed_pace(monkeypatch):
+    now, sent = [0.0], []
+
+    def sleep(s):
+        now[0] += s
+
+    monkeypatch.setattr(readers, "RateLimiter", lambda rate: RateLimiter(rate, lambda: now[0], sleep))
+    monkeypatch.setattr(fake, "pubmed", lambda request, answer=fake.pubmed: sent.append(now[0]) or answer(request))
+    assert len(read(readers.PubmedReader, "pubmed", max_results=1203, rate=4)) == 1203 and sent == [0.0, 0.25, 0.5, 0.75]
+
+
 def test_cursor_counts_valid_records():
     rows = read(readers.UsptoReader, "patents_two_pages", max_results=3)
     assert [json.loads(r[2])["patent_title"] for r in rows] == ["Compound 0", "Compound 1", "Compound 3"]

@@ -38,7 +38,7 @@ def test_roundtrip_and_append(spark, tmp_path):
     assert storage.count_documents(spark, path) == 3
     back = storage.read_documents(spark, path).where(F.col("scraped_at") == F.lit(when).cast("timestamp")).orderBy("title").collect()
     assert [d.title for d in back] == ["t0", "t1"] and back[0].metadata.toPython() == {"a": None, "b": [1]} and back[0].scraped_at == datetime(2024, 5, 6, 7, 8, 9, 123456)
-    assert '"abstract":null' in next(path.glob("part-*")).read_text() and [f.name for f in DOCUMENT] == back[0].__fields__
+    assert '"abstract":null' in "".join(p.read_text() for p in path.glob("part-*")) and [f.name for f in DOCUMENT] == back[0].__fields__
     assert storage.append_documents(tmp_path / "none", some(spark, 0)) == 0
     assert stream_documents(spark, str(path)).isStreaming
 
@@ -56,6 +56,28 @@ def test_bad_lines(spark, tmp_path):
     assert storage.read_documents(spark, path).first().keywords == []
 
 
+@pytest.mark.parametrize(
+    "field",
+    ['"publication_date":"garbage"', '"publication_date":5', '"keywords":[5]', '"keywords":[null]', '"authors":[1]', '"authors":[{"affiliation":"x"}]', '"authors":[{"name":1}]', '"identifiers":[{"type":"doi"}]', '"metadata":[]', '"scraped_at":"nonsense"', '"scraped_at":null'],
+)
+def test_wrong_kinds_raise(spark, tmp_path, field):
+    path = tmp_path / "x.jsonl"
+    path.write_text('{"source":"epo","title":"t",' + field + "}\n")
+    with pytest.raises(Exception, match="invalid line: " + field.split('"')[1]):
+        storage.read_documents(spark, path).collect()
+    assert storage.read_documents(spark, path, strict=False).first()["_errors"][0] == field.split('"')[1] + " type"
+
+
+def test_right_kinds(spark, tmp_path):
+    path = tmp_path / "x.jsonl"
+    path.write_text('{"source":"epo","title":"t","authors":[{"name":"a","x":1}],"publication_date":"2024-02-29","keywords":[],"metadata":{"k":[1]},"scraped_at":"2024-01-01T00:00:00Z"}\n{"source":"epo","title":"u","publication_date":null}\n')
+    a, b = storage.read_documents(spark, path).orderBy("title").collect()
+    assert a.authors[0].name == "a" and str(a.publication_date) == "2024-02-29" and a.scraped_at == datetime(2024, 1, 1) and a.metadata.toPython() == {"k": [1]}
+    assert b.scraped_at is not None and b.publication_date is None and b.keywords == []
+    assert storage.exists(spark, path) and not storage.exists(spark, tmp_path / "none")
+    assert storage.default_output_path("s3a://b/x/", "epo") == "s3a://b/x/epo.jsonl"
+
+
 def test_settings(tmp_path, monkeypatch):
     monkeypatch.delenv("NCBI_API_KEY", raising=False)
     assert Settings().ncbi_rate_limit == 3 and Settings(ncbi_api_key="k").ncbi_rate_limit == 10
