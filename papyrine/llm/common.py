@@ -13,6 +13,12 @@ from pyspark.sql import functions as F
 
 #: At most so many 64-bit ids are sent to every task as a filter; more are joined by a shuffle.
 FILTER_IDS = 2_000_000
+#: Ids of a larger bucket aren't paired: its components are bridged where their sets lie side by side.
+PAIRED = 16
+#: Set items of a part of a bucket; every two parts of a larger bucket are laid side by side.
+PART_ITEMS = 400_000
+#: Pairs of sets, or items that they share, that are counted at once.
+AT_ONCE = 2_000_000
 #: At most so many edges are joined into components on the driver (16 bytes each); more by shuffles.
 DRIVER_EDGES = 1_000_000
 
@@ -182,17 +188,100 @@ def jaccard(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     )
 
 
-def near_groups(keys: Callable[..., DataFrame], sets_of: Callable[[DataFrame], DataFrame], threshold: float) -> DataFrame:
+def bridges(label: np.ndarray, items: np.ndarray, firsts: np.ndarray, threshold: float, at_once: int = AT_ONCE) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of similar sets (row i has items firsts[i] to firsts[i + 1]) that connect rows of different labels as all similar pairs do.
+
+    From each label the rows that it reaches are followed breadth-first: every row
+    is compared with those that aren't reached yet, so at most one pair a label comes
+    out, and large groups of similar sets are soon left.
+    """
+    n, size = len(firsts) - 1, np.diff(firsts)
+    label = np.unique(label, return_inverse=True)[1]
+    item = np.unique(items, return_inverse=True)[1]
+    by_label = np.argsort(label, kind="stable")
+    begins = np.searchsorted(label[by_label], np.arange(label.max(initial=-1) + 2))
+    of = np.repeat(np.arange(n), size)
+    left = np.ones(n, dtype=bool)
+    alive, n_left = np.zeros(0, np.int64), n
+    out_a, out_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for g in range(len(begins) - 1):
+        mine = by_label[begins[g] : begins[g + 1]]
+        if not left[mine[0]]:
+            continue
+        left[mine] = False
+        n_left -= len(mine)
+        frontier = mine
+        while len(frontier) and n_left:
+            if 2 * n_left < len(alive) or not len(alive):  # the rows of each item, anew when half of them are reached
+                alive = np.flatnonzero(left)
+                place = np.zeros(n, np.int64)
+                place[alive] = np.arange(len(alive))
+                some = np.flatnonzero(left[of])
+                some = some[np.argsort(item[some], kind="stable")]
+                rows_of, starts = place[of[some]], np.searchsorted(item[some], np.arange(item.max(initial=-1) + 2))
+            count = size[frontier]
+            flat = item[np.arange(count.sum()) + np.repeat(firsts[frontier] - (np.cumsum(count) - count), count)]
+            times = starts[flat + 1] - starts[flat]
+            ends = np.concatenate([[0], np.cumsum(count)])
+            work = np.maximum(np.diff(np.concatenate([[0], np.cumsum(times)])[ends]), len(alive))
+            batch, reached = np.cumsum(work) // at_once, []
+            for edge in np.split(np.arange(len(frontier)), np.flatnonzero(np.diff(batch)) + 1):
+                lo, hi = ends[edge[0]], ends[edge[-1] + 1]
+                many = times[lo:hi]
+                other = rows_of[np.arange(many.sum()) + np.repeat(starts[flat[lo:hi]] - (np.cumsum(many) - many), many)]
+                row = np.repeat(np.repeat(np.arange(len(edge)), count[edge]), many)
+                both = np.bincount(row * len(alive) + other, minlength=len(edge) * len(alive))
+                hit = np.flatnonzero(both)
+                both, x, y = both[hit], frontier[edge][hit // len(alive)], alive[hit % len(alive)]
+                good = left[y] & (both / (size[x] + size[y] - both) >= threshold) & (np.minimum(size[x], size[y]) >= threshold * np.maximum(size[x], size[y]))
+                x, y = x[good], y[good]
+                new, once = np.unique(label[y], return_index=True)
+                out_a.append(x[once])
+                out_b.append(y[once])
+                for k in new:
+                    mine = by_label[begins[k] : begins[k + 1]]
+                    left[mine] = False
+                    n_left -= len(mine)
+                    reached.append(mine)
+            frontier = np.concatenate(reached) if reached else mine[:0]
+    return np.concatenate(out_a), np.concatenate(out_b)
+
+
+def bridged(one: DataFrame, sets: DataFrame, threshold: float, part_items: int = PART_ITEMS) -> DataFrame:
+    """Edges (a, b) that connect the labels of each key of one (key, id, label) as all similar pairs of ids with that key do.
+
+    A key of more than part_items items is cut into parts, and every two parts are
+    compared, so that no task holds more than two.
+    """
+    total = one.join(sets.select("id", F.size("items").alias("n")), "id").groupBy("key").agg(F.ceil(F.sum("n") / part_items).alias("parts"))
+    part = F.pmod(F.xxhash64("id", F.lit(1)), F.col("parts"))
+    at = one.join(total, "key").select("key", "id", "label", part.alias("p"), "parts")
+    others = F.when(F.col("parts") == 1, F.array(F.col("p"))).otherwise(F.filter(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1), lambda q: q != F.col("p")))
+    at = at.select("key", "id", "label", "p", F.explode(others).alias("q")).select("key", F.least("p", "q").alias("lo"), F.greatest("p", "q").alias("hi"), "id", "label").join(sets, "id")
+
+    def each(rows: pa.Table) -> pa.Table:
+        rows = rows.combine_chunks()
+        ids, col = rows.column("id").to_numpy(), rows.column("items").combine_chunks()
+        firsts = np.concatenate([[0], np.cumsum(col.value_lengths().to_numpy())])
+        a, b = bridges(rows.column("label").to_numpy(), col.flatten().to_numpy(), firsts, threshold)
+        return pa.table({"a": ids[a], "b": ids[b]})
+
+    return at.select("key", "lo", "hi", "id", "label", "items").groupBy("key", "lo", "hi").applyInArrow(each, "a long, b long")
+
+
+def near_groups(keys: Callable[..., DataFrame], sets_of: Callable[[DataFrame], DataFrame], threshold: float, paired: int = PAIRED, part_items: int = PART_ITEMS) -> DataFrame:
     """(id, label): connected components of ids that share a key and are similar.
 
     keys() gives (id, key), the places in hash tables, keys(ids) those with these
     keys, and sets_of(ids) gives (id, items).
-    Every pair in a bucket counts, and no bucket is ever gathered in one row or
-    task: buckets are found by their least and greatest id, counted before the
-    shuffle.  First each id is verified against the least id that it meets in any
-    bucket; then, by a join that splits large buckets, pairs of a bucket whose ends
-    those edges leave in different components, so that groups of thousands of copies
-    cost about one comparison for each member and no similar pair is missed.
+    Every pair in a bucket counts, and no bucket is gathered beyond two parts of
+    part_items items: buckets are found by their least and greatest id, counted before
+    the shuffle.  First each id is verified against the least id that it meets in any
+    bucket.  What those edges leave in different components is compared bucket by
+    bucket: in those of up to `paired` ids by a join of pairs, in larger ones, whose
+    pairs would grow with the square of the input, by bridges of their components.
+    Groups of thousands of copies cost about one comparison for each member, and no
+    similar pair is missed.
     """
     buckets = cut(keys().groupBy("key").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least <> most").select("key", "least"))
     member = cut(keys(buckets.select("key")).distinct().join(buckets, "key"))
@@ -202,12 +291,13 @@ def near_groups(keys: Callable[..., DataFrame], sets_of: Callable[[DataFrame], D
     sure = cut(jaccard(first, sets, threshold))
     label = components(sure)
     at = member.select("key", "id").join(label, "id", "left").select("key", "id", F.coalesce("label", "id").alias("label"))
-    mixed = at.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("key")
-    one = cut(at.join(mixed, "key", "left_semi"))
-    other = one.select("key", F.col("id").alias("b"), F.col("label").alias("other"))
-    pairs = one.select("key", F.col("id").alias("a"), "label").join(other, "key").where("a > b AND label <> other").select("a", "b").distinct().join(first, ["a", "b"], "left_anti")
-    rest = jaccard(pairs, sets, threshold)
-    return components(sure.union(rest))
+    mixed = at.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("ids")).where("lo <> hi").select("key", "ids")
+    one = cut(at.join(mixed, "key"))
+    small = one.where(F.col("ids") <= paired).drop("ids")
+    other = small.select("key", F.col("id").alias("b"), F.col("label").alias("other"))
+    pairs = small.select("key", F.col("id").alias("a"), "label").join(other, "key").where("a > b AND label <> other").select("a", "b").distinct().join(first, ["a", "b"], "left_anti")
+    rest = jaccard(pairs, sets, threshold).select("a", "b").unionByName(bridged(one.where(F.col("ids") > paired).drop("ids"), sets, threshold, part_items))
+    return components(sure.select("a", "b").unionByName(rest))
 
 
 def later(found: DataFrame, key: str, again: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:

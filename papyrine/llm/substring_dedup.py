@@ -162,6 +162,57 @@ def repeated_sentences(rows: DataFrame) -> DataFrame:
     return later(found(), "key", found)
 
 
+def later_runs(batches: Iterator[pa.RecordBatch], run_words: int) -> Iterator[pa.RecordBatch]:
+    """Runs that aren't the first of their hash, of rows (key, uid, doc_id, at, hashes) in order; those of a key that goes on in the next batch are kept in sorted levels, each over twice as long as the next, so that a key's cost doesn't grow with the square of its places."""
+    none = np.iinfo(np.int64).max
+    last: int | None = None
+    levels: list[list[np.ndarray]] = []  # of the last key: run, uid, word, doc_id of each first
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        key = batch.column(0).to_numpy()
+        same = key[1:] == key[:-1]
+        more = np.append(False, same) | np.append(same, True)  # the last may go on in the next batch
+        more[0] |= bool(levels) and last == key[0]
+        row = np.flatnonzero(more)
+        part = batch.take(pa.array(row))
+        col = part.column(4)
+        ends = np.frombuffer(col.buffers()[1], np.int32)[col.offset : col.offset + len(col) + 1].astype(np.int64)
+        data = np.frombuffer(col.buffers()[2], np.uint8)[ends[0] : ends[-1]].reshape(-1, HASH_BYTES)
+        n = np.diff(ends) // HASH_BYTES
+        of = np.repeat(np.arange(len(n)), n)
+        h = np.zeros((len(of), 8), np.uint8)
+        h[:, :HASH_BYTES] = data
+        word = part.column(3).to_numpy()[of].astype(np.int64) + np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
+        k, u, d = key[row][of], part.column(1).to_numpy()[of], part.column(2).fill_null(none).to_numpy()[of]
+        run, first, inv = np.unique(mix(k.view(np.uint64) + mix(h.reshape(-1).view("<u8"))), return_index=True, return_inverse=True)
+        fu, fw, fd, new = u[first], word[first], d[first], np.ones(len(first), dtype=bool)
+        if last != key[0]:
+            levels = []
+        for have in levels:
+            at = np.minimum(np.searchsorted(have[0], run), len(have[0]) - 1)
+            old = have[0][at] == run
+            fu[old], fw[old], fd[old], new[old] = have[1][at[old]], have[2][at[old]], have[3][at[old]], False
+        if last != key[-1]:
+            levels = []
+        last = int(key[-1])
+        new &= k[first] == last
+        if new.any():
+            levels.append([x[new] for x in (run, fu, fw, fd)])
+        while len(levels) > 1 and len(levels[-2][0]) <= 2 * len(levels[-1][0]):
+            both = [np.concatenate(x) for x in zip(*levels[-2:])]
+            order = np.argsort(both[0], kind="stable")
+            levels[-2:] = [[x[order] for x in both]]
+        gone = np.flatnonzero((fu[inv] != u) | (fw[inv] != word))  # equal places are repeated rows
+        if not len(gone):
+            continue
+        begins = np.flatnonzero(np.append(True, (of[gone][1:] != of[gone][:-1]) | (gone[1:] != gone[:-1] + 1)))
+        words = np.diff(np.append(begins, len(gone))) + run_words - 1
+        kept = np.minimum.reduceat(fd[inv][gone], begins)
+        who = pa.array(of[gone[begins]])
+        yield pa.RecordBatch.from_arrays([part.column(1).take(who), part.column(2).take(who), pa.array((word[gone[begins]] << 32) | words), pa.array(kept, mask=kept == none)], names=["uid", "doc_id", "span", "kept_doc_id"])
+
+
 def repeated_runs(rows: DataFrame, run_words: int, hot_rows: int = HOT_ROWS) -> DataFrame:
     """(uid, doc_id, span, kept_doc_id): later occurrences of runs of run_words words, joined as far as they have an anchor in common; span is first word << 32 | words.
 
@@ -180,42 +231,6 @@ def repeated_runs(rows: DataFrame, run_words: int, hot_rows: int = HOT_ROWS) ->
                 hashes = pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(ends), pa.py_buffer(data)])
                 yield pa.RecordBatch.from_arrays([pa.array(signed(key)), u, d, pa.array(at.astype(np.int32)), hashes], names=["key", "uid", "doc_id", "at", "hashes"])
 
-    def repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        none = np.iinfo(np.int64).max
-        seen = [np.zeros(0, kind) for kind in (np.int64, np.uint64, np.int64, np.int64, np.int64)]  # of the last key: key, run, uid, word, doc_id of each first
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            key = batch.column(0).to_numpy()
-            same = key[1:] == key[:-1]
-            more = np.append(False, same) | np.append(same, True)  # the last may go on in the next batch
-            more[0] |= bool(len(seen[0])) and seen[0][0] == key[0]
-            row = np.flatnonzero(more)
-            part = batch.take(pa.array(row))
-            col = part.column(4)
-            ends = np.frombuffer(col.buffers()[1], np.int32)[col.offset : col.offset + len(col) + 1].astype(np.int64)
-            data = np.frombuffer(col.buffers()[2], np.uint8)[ends[0] : ends[-1]].reshape(-1, HASH_BYTES)
-            n = np.diff(ends) // HASH_BYTES
-            of = np.repeat(np.arange(len(n)), n)
-            h = np.zeros((len(of), 8), np.uint8)
-            h[:, :HASH_BYTES] = data
-            word = part.column(3).to_numpy()[of].astype(np.int64) + np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
-            new = [key[row][of], h.reshape(-1).view("<u8"), part.column(1).to_numpy()[of], word, part.column(2).fill_null(none).to_numpy()[of]]
-            old = len(seen[0]) if len(seen[0]) and seen[0][0] == key[0] else 0
-            k, h, u, at, d = [np.concatenate([x[:old], y]) for x, y in zip(seen, new)]
-            _, first, inv = np.unique(mix(k.view(np.uint64) + mix(h)), return_index=True, return_inverse=True)
-            mine = np.sort(first[k[first] == key[-1]])
-            seen = [x[mine] for x in (k, h, u, at, d)]
-            f = first[inv]
-            gone = np.flatnonzero(((u[f] != u) | (at[f] != at))[old:])  # equal places are repeated rows
-            if not len(gone):
-                continue
-            begins = np.flatnonzero(np.append(True, (of[gone][1:] != of[gone][:-1]) | (gone[1:] != gone[:-1] + 1)))
-            words = np.diff(np.append(begins, len(gone))) + run_words - 1
-            kept = np.minimum.reduceat(d[f][old:][gone], begins)
-            who = pa.array(of[gone[begins]])
-            yield pa.RecordBatch.from_arrays([part.column(1).take(who), part.column(2).take(who), pa.array((word[gone[begins]] << 32) | words), pa.array(kept, mask=kept == none)], names=["uid", "doc_id", "span", "kept_doc_id"])
-
     def single(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ends = np.frombuffer(batch.column(4).buffers()[1], np.int32)[batch.column(4).offset :][: batch.num_rows + 1].astype(np.int64)
@@ -231,7 +246,7 @@ def repeated_runs(rows: DataFrame, run_words: int, hot_rows: int = HOT_ROWS) ->
     found = lambda ids=None: mapped(rows, each, "key long, uid long, doc_id long, at int, hashes binary", ids)
     counts = cut(found().select("key").groupBy("key").count().where("count > 1"))
     some = found(counts.where(F.col("count") <= hot_rows).select("key"))
-    out = some.repartition("key").sortWithinPartitions("key", F.col("doc_id").asc_nulls_last(), "uid", "at").mapInArrow(repeats, "uid long, doc_id long, span long, kept_doc_id long")
+    out = some.repartition("key").sortWithinPartitions("key", F.col("doc_id").asc_nulls_last(), "uid", "at").mapInArrow(lambda batches: later_runs(batches, run_words), "uid long, doc_id long, span long, kept_doc_id long")
     hot = counts.where(F.col("count") > hot_rows).select("key")
     if hot.isEmpty():
         return out

@@ -222,3 +222,41 @@ def test_a_sentence_and_a_group_of_very_many(spark):
     copies = spark.range(20000).selectExpr("id AS doc_id", f"'{common} {common}' AS text").union(spark.range(20000, 20300).selectExpr("id", f"concat('{common} {common} x', id)"))
     near = near_dedup.near_duplicates(copies)
     assert near.where("kept").count() == 1 and near.count() == 20300 and near.where("group_id <> 0").isEmpty()
+
+
+def test_large_buckets_of_near_groups_are_not_paired(spark, monkeypatch):
+    rng = seeded(51)
+    base = rng.integers(0, 300, (30, 25))
+    sets = {i: sorted({int(x) for x in np.where(rng.random(25) < 0.12, rng.integers(0, 300, 25), base[i % 30])}) for i in range(400)}
+    keys = [(i, k) for i in sets for k in ([1] if i < 300 else []) + [100 + i // 5]]
+    rows, items = spark.createDataFrame(keys, "id long, key long"), spark.createDataFrame(list(sets.items()), "id long, items array<int>")
+    pairs, exact = [], common.jaccard
+    monkeypatch.setattr(common, "jaccard", lambda p, s, t: pairs.append(p.count()) or exact(p, s, t))
+    same = lambda i, j: (i < 300 and j < 300) or i // 5 == j // 5
+    label = components(400, [(i, j) for i in sets for j in range(i) if same(i, j) and jaccard(set(sets[i]), set(sets[j])) >= 0.6])
+    for limits in ({}, {"part_items": 900}):
+        pairs.clear()
+        found = {r.id: r.label for r in common.near_groups(lambda ids=None: rows if ids is None else rows.join(ids, "key", "left_semi"), lambda ids: items.join(ids, "id", "left_semi"), 0.6, **limits).collect()}
+        assert found == {i: x for i, x in enumerate(label) if label.count(x) > 1}
+        assert sum(pairs) <= 4 * len(sets)  # a bucket of 300 ids has 44 850 pairs
+
+
+def test_runs_of_a_hot_anchor_go_on_through_batches():
+    rng, k, n = seeded(52), 3, 500
+    hashes = rng.integers(0, 900, (n, k)).astype("<u8")
+    rows = pa.RecordBatch.from_arrays(
+        [pa.array(np.where(np.arange(n) < 20, 6, np.where(np.arange(n) < 450, 7, 8))), pa.array(np.arange(n)), pa.array(np.arange(n) + 1000), pa.array(np.full(n, 5, np.int32)), pa.array([h.view(np.uint8).reshape(-1, 8)[:, : substring_dedup.HASH_BYTES].tobytes() for h in hashes], pa.binary())],
+        names=["key", "uid", "doc_id", "at", "hashes"],
+    )
+    seen, want = {}, set()
+    for i, (key, h) in enumerate(zip(rows.column(0).to_pylist(), hashes.tolist())):
+        for j, x in enumerate(h):
+            if seen.setdefault((key, x), (i, j)) != (i, j):
+                want.add((i, 5 + j, seen[key, x][0] + 1000))
+    for size in (1, 7, 64, n):
+        got = [r for b in substring_dedup.later_runs((rows.slice(a, size) for a in range(0, n, size)), 10) for r in b.to_pylist()]
+        runs = {(r["uid"], (r["span"] >> 32) + j) for r in got for j in range((r["span"] & 0xFFFFFFFF) - 9)}
+        assert runs == {(i, w) for i, w, _ in want}
+        for r in got:
+            mine = [d for i, w, d in want if i == r["uid"] and 0 <= w - (r["span"] >> 32) <= (r["span"] & 0xFFFFFFFF) - 10]
+            assert r["kept_doc_id"] == min(mine)
