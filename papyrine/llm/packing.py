@@ -35,9 +35,9 @@ LEAF = 2000
 #: Texts of a cell of a table, which one task cuts on into leaves.
 CELL = 8000
 #: Products of weights that are added up at once.
-PAIRS = 4_000_000
+PAIRS = 250_000
 #: Words of more than a DENSEth of a leaf's texts go through the dense product.
-DENSE = 48
+DENSE = 32
 #: Texts whose paths one task walks (their ids and neighbours only); paths stay within such a part.
 WALK = 250_000
 RACES = 3
@@ -179,16 +179,19 @@ def cosines(bucket: np.ndarray, weight: np.ndarray, firsts: np.ndarray, rows: np
     x[r[mine], np.repeat(np.cumsum(often) - 1, d)[mine]] = w[mine]
     s = x @ x.T
     place = np.arange(len(b)) - np.repeat(begin, d)  # every word is paired with those of its bucket before it
-    entry = np.flatnonzero(~mine & (place > 0)).astype(np.int32)
-    r, total = r.astype(np.int32), np.cumsum(place[entry])
+    entry = np.flatnonzero(~mine & (place > 0))
+    entry = entry[np.argsort(r[entry], kind="stable")]  # row by row, so that sums stay in cache
+    total, half = np.cumsum(place[entry]), np.zeros((n, n), np.float32)
     for lo in range(0, int(total[-1]) if len(total) else 0, PAIRS):
         some = entry[np.searchsorted(total, lo, side="right") : np.searchsorted(total, lo + PAIRS, side="right")]
-        each = place[some]
-        left = np.repeat(some, each)
-        right = np.arange(len(left), dtype=np.int32) + np.repeat((some - each) - (np.cumsum(each) - each), each).astype(np.int32)
-        found = np.bincount(r[left] * np.int32(n) + r[right] if n < 46_000 else r[left].astype(np.int64) * n + r[right], weights=w[left] * w[right], minlength=n * n).reshape(n, n).astype(np.float32)
-        s += found
-        s += found.T
+        if not len(some):
+            continue
+        each, top, stop = place[some], r[some[0]], r[some[-1]] + 1
+        right = np.arange(each.sum()) + np.repeat((some - each) - (np.cumsum(each) - each), each)
+        at = np.repeat((r[some] - top) * n, each) + r[right]
+        half[top:stop] += np.bincount(at, weights=np.repeat(w[some], each) * w[right], minlength=(stop - top) * n).reshape(-1, n)
+    s += half
+    s += half.T
     return s
 
 

@@ -207,3 +207,19 @@ def test_answers_search_wider_than_the_graph_was_built_with(spark):
     d = ((x[:300, None] - x[None]) ** 2).sum(-1)
     d[np.arange(300), np.arange(300)] = np.inf
     assert sum(len(found[i] & set(np.argsort(d[i])[:10].tolist())) for i in range(300)) >= 0.91 * 10 * 300
+
+
+def test_cosines_are_summed_row_by_row(monkeypatch):
+    rng, n, sums = seeded(53), 200, []
+    x = np.where(rng.random((n, 400)) < 0.03, rng.random((n, 400)), 0).astype(np.float32)
+    count = (x > 0).sum(1)
+    firsts, exact = np.concatenate([[0], np.cumsum(count)]), np.bincount
+    monkeypatch.setattr(packing, "PAIRS", 300)
+    monkeypatch.setattr(packing, "DENSE", 20)
+    monkeypatch.setattr(np, "bincount", lambda a, **k: sums.append(k["minlength"]) or exact(a, **k))
+    s = packing.cosines(np.nonzero(x)[1], x[x > 0], firsts, np.arange(n))
+    want = x @ x.T
+    np.fill_diagonal(s, 0)
+    np.fill_diagonal(want, 0)
+    assert np.allclose(s, want, atol=1e-5)
+    assert len(sums) > 5 and sum(sums) <= n * (n + 2 * len(sums))  # not a whole matrix each time
