@@ -14,7 +14,6 @@ the paths by running totals, and a text that doesn't fit goes on in the next win
 
 from __future__ import annotations
 
-import heapq
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,6 +37,8 @@ CELL = 8000
 PAIRS = 250_000
 #: Words of more than a DENSEth of a leaf's texts go through the dense product.
 DENSE = 32
+#: Rows of a matrix of cosines that are summed, mirrored or looked through at once, so that no second matrix is held.
+ROWS = 128
 #: Texts whose paths one task walks (their ids and neighbours only); paths stay within such a part.
 WALK = 250_000
 RACES = 3
@@ -107,7 +108,8 @@ def unpacked(col: pa.Array | pa.ChunkedArray, bits: int) -> tuple[np.ndarray, np
 def race_table(tables: int) -> np.ndarray:
     """Minus the logarithm of a random number for each race of each table and each bucket."""
     u = np.random.default_rng(SEED).random((tables * RACES, BUCKETS), dtype=np.float32)
-    return -np.log(np.maximum(u, np.float32(1e-7)))
+    np.log(np.maximum(u, np.float32(1e-7), out=u), out=u)
+    return np.negative(u, out=u)
 
 
 def order_keys(ids: np.ndarray, bucket: np.ndarray, weight: np.ndarray, firsts: np.ndarray, races: np.ndarray) -> np.ndarray:
@@ -170,28 +172,35 @@ def cosines(bucket: np.ndarray, weight: np.ndarray, firsts: np.ndarray, rows: np
     count = np.diff(firsts)[rows]
     flat = np.arange(count.sum()) + np.repeat(firsts[rows] - (np.cumsum(count) - count), count)
     order = np.argsort(bucket[flat], kind="stable")
-    b, w, r = bucket[flat][order], weight[flat][order], np.repeat(np.arange(n), count)[order]
+    r = np.repeat(np.arange(n, dtype=np.int32), count)[order]
+    flat = flat[order]
+    b, w = bucket[flat], weight[flat]
     begin = np.flatnonzero(np.append(True, b[1:] != b[:-1])) if len(b) else np.zeros(0, np.int64)
     d = np.diff(np.append(begin, len(b)))
+    del order, flat, b
     often = d * DENSE > n
     x = np.zeros((n, int(often.sum())), np.float32)
     mine = np.repeat(often, d)
-    x[r[mine], np.repeat(np.cumsum(often) - 1, d)[mine]] = w[mine]
+    x[r[mine], np.repeat((np.cumsum(often) - 1).astype(np.int32), d)[mine]] = w[mine]
     s = x @ x.T
-    place = np.arange(len(b)) - np.repeat(begin, d)  # every word is paired with those of its bucket before it
+    del x
+    place = np.arange(len(r), dtype=np.int32) - np.repeat(begin.astype(np.int32), d)  # every word is paired with those of its bucket before it
     entry = np.flatnonzero(~mine & (place > 0))
     entry = entry[np.argsort(r[entry], kind="stable")]  # row by row, so that sums stay in cache
-    total, half = np.cumsum(place[entry]), np.zeros((n, n), np.float32)
-    for lo in range(0, int(total[-1]) if len(total) else 0, PAIRS):
-        some = entry[np.searchsorted(total, lo, side="right") : np.searchsorted(total, lo + PAIRS, side="right")]
-        if not len(some):
-            continue
-        each, top, stop = place[some], r[some[0]], r[some[-1]] + 1
-        right = np.arange(each.sum()) + np.repeat((some - each) - (np.cumsum(each) - each), each)
-        at = np.repeat((r[some] - top) * n, each) + r[right]
-        half[top:stop] += np.bincount(at, weights=np.repeat(w[some], each) * w[right], minlength=(stop - top) * n).reshape(-1, n)
-    s += half
-    s += half.T
+    for block in np.split(entry, np.searchsorted(r[entry], np.arange(ROWS, n, ROWS))):
+        total = np.cumsum(place[block])
+        for lo in range(0, int(total[-1]) if len(total) else 0, PAIRS):
+            some = block[np.searchsorted(total, lo, side="right") : np.searchsorted(total, lo + PAIRS, side="right")]
+            if not len(some):
+                continue
+            each, top, stop = place[some], int(r[some[0]]), int(r[some[-1]]) + 1
+            right = np.arange(each.sum()) + np.repeat((some - each) - (np.cumsum(each) - each), each)
+            at = np.repeat((r[some] - top) * np.int64(n), each) + r[right]
+            s[top:stop] += np.bincount(at, weights=np.repeat(w[some], each) * w[right], minlength=(stop - top) * n).reshape(-1, n)
+    for lo in range(0, n, ROWS):  # sums stand below the diagonal
+        hi = min(n, lo + ROWS)
+        s[lo:hi, hi:] = s[hi:, lo:hi].T
+        s[lo:hi, lo:hi] = np.tril(s[lo:hi, lo:hi]) + np.tril(s[lo:hi, lo:hi], -1).T
     return s
 
 
@@ -200,10 +209,26 @@ def nearest(bucket: np.ndarray, weight: np.ndarray, firsts: np.ndarray, rows: np
     s = cosines(bucket, weight, firsts, rows)
     np.fill_diagonal(s, -np.inf)
     k = min(k, len(rows) - 1)
-    at = np.argpartition(-s, k - 1, axis=1)[:, :k]
+    at = np.empty((len(rows), k), np.int64)
+    for lo in range(0, len(rows), ROWS):
+        at[lo : lo + ROWS] = np.argpartition(-s[lo : lo + ROWS], k - 1, axis=1)[:, :k]
     return at, np.take_along_axis(s, at, axis=1)
 
 
+def neighbours(rows: pa.Table, idf: np.ndarray, leaf: int, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ids of a cell's texts, those of the up to k most similar in the leaf of each, and their cosines; weights of one leaf are held at a time."""
+    ids = rows.column("id").to_numpy()
+    order = np.lexsort((ids, rows.column("key").to_numpy().view(np.uint64)))
+    out_id, out_other, out_sim = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.float32)]
+    for some in np.array_split(order, -(-len(order) // leaf)):
+        if len(some) > 1:
+            to, sim = nearest(*weights(rows.select(["gaps", "counts"]).take(pa.array(some)), idf), np.arange(len(some)), k)
+            out_id.append(np.repeat(ids[some], to.shape[1]))
+            out_other.append(ids[some][to].reshape(-1))
+            out_sim.append(sim.reshape(-1))
+    return np.concatenate(out_id), np.concatenate(out_other), np.concatenate(out_sim)
+
+
 def bounds(sample: np.ndarray, cells: int) -> np.ndarray:
     """Where a sorted table's cells begin, but for the first: quantiles of a sample, as for a range partitioning."""
     return np.quantile(np.sort(sample), np.arange(1, cells) / cells, method="lower") if len(sample) else np.zeros(0, np.uint64)
@@ -238,16 +263,7 @@ def neighbour_graph(points: DataFrame, n: int, idf: np.ndarray, tables: int = TA
 
     def search(key: tuple, rows: pa.Table) -> pa.Table:
         ids = rows.column("id").to_numpy()
-        order = np.lexsort((ids, rows.column("key").to_numpy().view(np.uint64)))
-        bucket, w, firsts = weights(rows, shared.value[2])
-        out_id, out_other, out_sim = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.float32)]
-        for some in np.array_split(order, -(-len(order) // leaf)):
-            if len(some) > 1:
-                to, sim = nearest(bucket, w, firsts, some, k)
-                out_id.append(np.repeat(ids[some], to.shape[1]))
-                out_other.append(ids[some][to].reshape(-1))
-                out_sim.append(sim.reshape(-1))
-        edge_id, other, sim = np.concatenate(out_id), np.concatenate(out_other), np.concatenate(out_sim)
+        edge_id, other, sim = neighbours(rows, shared.value[2], leaf, k)
         good = sim > 0
         edge_id, other, sim = edge_id[good], other[good], sim[good]
         none = ids if key[0].as_py() == 0 else ids[:0]  # a row for each text that says where it is walked
@@ -266,31 +282,35 @@ def neighbour_graph(points: DataFrame, n: int, idf: np.ndarray, tables: int = TA
     return edges.groupBy("id").agg(best.alias("b"), F.max("part").alias("part")).select("id", "part", F.col("b.other").alias("others"))
 
 
+def follow(ids: np.ndarray, flat: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Places of ids along greedy paths; flat[ends[i] : ends[i + 1]] are the neighbours of ids[i], most similar first.
+
+    Neighbours stay in arrays: a list of them would take several times the memory.
+    """
+    n = len(ids)
+    order = np.argsort(ids, kind="stable")
+    at = np.minimum(np.searchsorted(ids, flat, sorter=order), n - 1)
+    place = order[at]
+    of = np.repeat(np.arange(n), np.diff(ends))
+    good = (ids[place] == flat) & (place != of)
+    place, of = place[good], of[good]
+    first = memoryview(np.searchsorted(of, np.arange(n + 1)))
+    starts = memoryview(np.lexsort((np.arange(n), ids, np.bincount(of, minlength=n) + np.bincount(place, minlength=n))))
+    near, seen, path, m = memoryview(place), bytearray(n), np.zeros(n, np.int64), 0
+    out = memoryview(path)
+    for i in starts:
+        while i >= 0 and not seen[i]:
+            seen[i] = 1
+            out[m] = i
+            m += 1
+            i = next((p for p in near[first[i] : first[i + 1]] if not seen[p]), -1)
+    return path
+
+
 def walk(ids: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
     """Places of ids along greedy paths; others[i] are the neighbours of ids[i], most similar first."""
-    order = np.argsort(ids, kind="stable")
     flat = np.concatenate(others) if others else np.zeros(0, np.int64)
-    at = np.minimum(np.searchsorted(ids[order], flat), len(ids) - 1)
-    place = np.where(ids[order][at] == flat, order[at], -1).tolist()
-    near, begin = [], 0
-    degree = np.zeros(len(ids), np.int64)
-    for i, o in enumerate(others):
-        mine = [p for p in place[begin : begin + len(o)] if p >= 0 and p != i]
-        begin += len(o)
-        near.append(mine)
-        degree[i] += len(mine)
-        for p in mine:
-            degree[p] += 1
-    starts = [(int(d), int(ids[i]), i) for i, d in enumerate(degree)]
-    heapq.heapify(starts)
-    seen, path = [False] * len(ids), []
-    while starts:
-        _, _, i = heapq.heappop(starts)
-        while i is not None and not seen[i]:
-            seen[i] = True
-            path.append(i)
-            i = next((p for p in near[i] if not seen[p]), None)
-    return np.array(path, dtype=np.int64)
+    return follow(ids, flat, np.cumsum([0, *map(len, others)]))
 
 
 def pack(docs: DataFrame, window: int = WINDOW_WORDS, k: int = NEIGHBOURS, tables: int = TABLES, leaf: int = LEAF, cell: int = CELL, walk_texts: int = WALK) -> DataFrame:
@@ -317,7 +337,7 @@ def pack(docs: DataFrame, window: int = WINDOW_WORDS, k: int = NEIGHBOURS, table
         table = table.sort_by([("id", "ascending")])
         ids, others = table.column("id").to_numpy(), table.column("others").combine_chunks()
         flat, ends = others.flatten().to_numpy(), np.concatenate([[0], np.cumsum(others.value_lengths().to_numpy())])
-        path = walk(ids, [flat[a:b] for a, b in zip(ends[:-1], ends[1:])])
+        path = follow(ids, flat, ends)
         return pa.table({"id": ids[path], "cell": pa.array(np.full(len(path), key[0].as_py())), "place": pa.array(np.arange(len(path)))})
 
     placed = near.groupBy("part").applyInArrow(paths, "id long, cell long, place long")

@@ -1,4 +1,5 @@
 import hashlib
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -223,3 +224,46 @@ def test_cosines_are_summed_row_by_row(monkeypatch):
     np.fill_diagonal(want, 0)
     assert np.allclose(s, want, atol=1e-5)
     assert len(sums) > 5 and sum(sums) <= n * (n + 2 * len(sums))  # not a whole matrix each time
+
+
+def traced(f, *args):
+    """What f returns, and the most bytes that it held at once."""
+    tracemalloc.start()
+    try:
+        return f(*args), tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_a_leaf_holds_one_matrix_of_cosines():
+    rng, n = seeded(54), 1800
+    x = np.where(rng.random((n, 3000)) < np.where(np.arange(3000) < 30, 0.3, 0.01), rng.random((n, 3000)), 0).astype(np.float32)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    firsts = np.concatenate([[0], np.cumsum((x > 0).sum(1))])
+    (to, sim), most = traced(packing.nearest, np.nonzero(x)[1], x[x > 0], firsts, np.arange(n), 8)
+    want = x @ x.T
+    np.fill_diagonal(want, -1)
+    assert np.allclose(np.sort(sim, axis=1), np.sort(want, axis=1)[:, -8:], atol=1e-5)
+    assert np.allclose(np.take_along_axis(want, to, axis=1), sim, atol=1e-5)
+    assert most < 3 * 4 * n * n  # the matrix, the leaf's words and sums of PAIRS products
+
+
+def test_walk_holds_neighbours_in_arrays():
+    rng, n = seeded(55), 20000
+    ids = rng.permutation(n) * 3 - n
+    others = [ids[(i + rng.integers(-40, 40, 8)) % n] for i in range(n)]
+    others[7], others[8] = others[7][:0], np.append(others[8], 1 - n)  # without neighbours; one that isn't there
+    path, most = traced(packing.walk, ids, others)
+    at = {int(x): i for i, x in enumerate(ids)}
+    near = [[at[x] for x in o.tolist() if x in at and at[x] != i] for i, o in enumerate(others)]
+    degree = [len(o) for o in near]
+    for p in (p for o in near for p in o):
+        degree[p] += 1
+    seen, want = set(), []
+    for i in sorted(range(n), key=lambda i: (degree[i], ids[i])):
+        while i is not None and i not in seen:
+            seen.add(i)
+            want.append(i)
+            i = next((p for p in near[i] if p not in seen), None)
+    assert path.tolist() == want
+    assert most < 64 * 8 * n
