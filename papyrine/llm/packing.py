@@ -39,32 +39,14 @@ PAIRS = 250_000
 DENSE = 32
 #: Rows of a matrix of cosines that are summed, mirrored or looked through at once, so that no second matrix is held.
 ROWS = 128
+#: Rows of word counts that are unpacked at once.
+AT_ONCE = 256
 #: Texts whose paths one task walks (their ids and neighbours only); paths stay within such a part.
 WALK = 250_000
 RACES = 3
 SEED = 77
 
 
-def frequencies(rows: DataFrame) -> tuple[np.ndarray, int]:
-    """In how many texts words of each hash bucket occur, and the number of texts."""
-
-    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, n = np.zeros(BUCKETS, np.int64), 0
-        for batch in batches:
-            for part, w in slices(batch):
-                row = w.row_of().astype(np.uint64)
-                once = np.unique((row << U(BITS)) | (w.hash >> U(64 - BITS)))
-                total += np.bincount((once & U(BUCKETS - 1)).astype(np.int64), minlength=BUCKETS)
-                n += part.num_rows
-        have = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(np.append(have, -1)), pa.array(np.append(total[have], n))], names=["bucket", "n"])
-
-    found = rows.select("text").mapInArrow(each, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
-    out = np.zeros(BUCKETS + 1, np.int64)
-    out[found.column("bucket").to_numpy()] = found.column("n").to_numpy()
-    return out[:-1], int(out[-1])
-
-
 def packed(values: np.ndarray, firsts: np.ndarray, bits: int) -> pa.Array:
     """Whole numbers from 0 on of each row as binary, in codes of 8 or 12 bits; the greatest code says that the number goes on."""
     most = (1 << bits) - 1
@@ -91,18 +73,19 @@ def unpacked(col: pa.Array | pa.ChunkedArray, bits: int) -> tuple[np.ndarray, np
     if not len(col):
         return np.zeros(0, np.int64), np.zeros(1, np.int64)
     cuts = np.frombuffer(col.buffers()[1], np.int32)[col.offset : col.offset + len(col) + 1].astype(np.int64)
-    data = np.frombuffer(col.buffers()[2] or b"", np.uint8)[cuts[0] : cuts[-1]].astype(np.int64)
+    data = np.frombuffer(col.buffers()[2] or b"", np.uint8)[cuts[0] : cuts[-1]]
     cuts = cuts - cuts[0]
+    most = (1 << bits) - 1
     if bits == 12:
-        a, b, c = data.reshape(-1, 3).T
-        data, cuts = np.stack([a | ((b & 15) << 8), (b >> 4) | (c << 4)], axis=1).reshape(-1), cuts // 3 * 2
-    ends = np.flatnonzero(data < (1 << bits) - 1)
-    total = np.concatenate([[0], np.cumsum(data)])
+        a, b, c = data.reshape(-1, 3).T.astype(np.uint16)
+        data, cuts = np.empty(len(a) * 2, np.uint16), cuts // 3 * 2
+        data[0::2], data[1::2] = a | ((b & 15) << 8), (b >> 4) | (c << 4)
+    ends = np.flatnonzero(data < most)
     firsts = np.searchsorted(ends, cuts)
     before = np.concatenate([[0], ends[:-1] + 1]) if len(ends) else ends
     have = np.diff(firsts) > 0
     before[firsts[:-1][have]] = cuts[:-1][have]
-    return total[ends + 1] - total[before], firsts
+    return data[ends] + most * (ends - before), firsts
 
 
 def race_table(tables: int) -> np.ndarray:
@@ -129,37 +112,67 @@ def order_keys(ids: np.ndarray, bucket: np.ndarray, weight: np.ndarray, firsts:
     return (out << U(16)) | (mix(ids.view(np.uint64))[:, None] >> U(48))
 
 
-def vectors(rows: DataFrame, idf: np.ndarray, tables: int) -> DataFrame:
-    """(doc_id, id, n_words, gaps, counts, keys) of rows (doc_id, id, text) that have words."""
-    shared = rows.sparkSession.sparkContext.broadcast(idf)
+def vectors(rows: DataFrame, idf: np.ndarray | None = None, tables: int | None = None) -> DataFrame:
+    """(doc_id, id, n_words, gaps, counts) of rows (doc_id, id, text), also of those without words.
+
+    This is the only pass over the texts.  idf and tables are taken as before and
+    not used: frequencies come from these rows, and keys are made after copies are dropped.
+    """
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        races = race_table(tables)
         for batch in batches:
             for part, w in slices(batch):
-                part, n = part.filter(pa.array(np.diff(w.first) > 0)), np.diff(w.first)
-                row = np.repeat(np.arange(part.num_rows, dtype=np.uint64), n[n > 0])
-                once, count = np.unique((row << U(BITS)) | (w.hash >> U(64 - BITS)), return_counts=True)
+                once, count = np.unique((w.row_of().astype(np.uint64) << U(BITS)) | (w.hash >> U(64 - BITS)), return_counts=True)
                 bucket = (once & U(BUCKETS - 1)).astype(np.int64)
-                firsts = np.searchsorted(once >> U(BITS), np.arange(part.num_rows + 1, dtype=np.uint64))
+                firsts = np.searchsorted(once >> U(BITS), np.arange(w.rows + 1, dtype=np.uint64))
+                begin = firsts[:-1][np.diff(firsts) > 0]
                 gap = np.diff(bucket, prepend=0)
-                gap[firsts[:-1]] = bucket[firsts[:-1]]
-                keys = order_keys(part.column(1).to_numpy(), bucket, (count * shared.value[bucket]).astype(np.float32), firsts, races)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), pa.array(n[n > 0]), packed(gap, firsts, 12), packed(count - 1, firsts, 8), lists(keys.reshape(-1).view(np.int64), np.arange(part.num_rows + 1) * tables, pa.int64())],
-                    names=["doc_id", "id", "n_words", "gaps", "counts", "keys"],
-                )
+                gap[begin] = bucket[begin]
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(np.diff(w.first)), packed(gap, firsts, 12), packed(count - 1, firsts, 8)], names=["doc_id", "id", "n_words", "gaps", "counts"])
+
+    return rows.mapInArrow(each, "doc_id long, id long, n_words long, gaps binary, counts binary")
+
 
-    return rows.mapInArrow(each, "doc_id long, id long, n_words long, gaps binary, counts binary, keys array<long>")
+def buckets(gaps: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """The buckets of each row's words, and where each row's begin."""
+    gap, firsts = unpacked(gaps, 12)
+    total = np.cumsum(gap)
+    return total - np.repeat(np.concatenate([[0], total])[firsts[:-1]], np.diff(firsts)), firsts
+
+
+def frequencies(rows: DataFrame) -> tuple[np.ndarray, int]:
+    """In how many texts words of each hash bucket occur, and the number of texts, for rows as of vectors (or with texts)."""
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, n = np.zeros(BUCKETS, np.int64), 0
+        for batch in batches:
+            for lo in range(0, batch.num_rows, AT_ONCE):
+                total += np.bincount(buckets(batch.column(0).slice(lo, AT_ONCE))[0], minlength=BUCKETS)
+            n += batch.num_rows
+        have = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(have, -1)), pa.array(np.append(total[have], n))], names=["bucket", "n"])
+
+    points = rows if "gaps" in rows.columns else vectors(rows)
+    found = points.select("gaps").mapInArrow(each, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(BUCKETS + 1, np.int64)
+    out[found.column("bucket").to_numpy()] = found.column("n").to_numpy()
+    return out[:-1], int(out[-1])
+
+
+def table_keys(batch: pa.RecordBatch, idf: np.ndarray, races: np.ndarray) -> np.ndarray:
+    """order_keys of rows (id, gaps, counts)."""
+    out = [np.zeros((0, len(races) // RACES), np.uint64)]
+    for lo in range(0, batch.num_rows, AT_ONCE):
+        ids, gaps, counts = batch.slice(lo, AT_ONCE).columns
+        bucket, firsts = buckets(gaps)
+        out.append(order_keys(ids.to_numpy(), bucket, ((unpacked(counts, 8)[0] + 1) * idf[bucket]).astype(np.float32), firsts, races))
+    return np.concatenate(out)
 
 
 def weights(table: pa.Table, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Buckets and weights of the unit vectors of a table's rows, and where each row's begin."""
-    gap, firsts = unpacked(table.column("gaps"), 12)
+    bucket, firsts = buckets(table.column("gaps"))
     count, _ = unpacked(table.column("counts"), 8)
-    total = np.cumsum(gap)
-    before = np.concatenate([[0], total])[firsts[:-1]]
-    bucket = total - np.repeat(before, np.diff(firsts))
     w = (count + 1) * idf[bucket]
     row = np.repeat(np.arange(len(firsts) - 1), np.diff(firsts))
     norm = np.sqrt(np.bincount(row, weights=w * w, minlength=len(firsts) - 1))
@@ -171,10 +184,11 @@ def cosines(bucket: np.ndarray, weight: np.ndarray, firsts: np.ndarray, rows: np
     n = len(rows)
     count = np.diff(firsts)[rows]
     flat = np.arange(count.sum()) + np.repeat(firsts[rows] - (np.cumsum(count) - count), count)
-    order = np.argsort(bucket[flat], kind="stable")
-    r = np.repeat(np.arange(n, dtype=np.int32), count)[order]
-    flat = flat[order]
-    b, w = bucket[flat], weight[flat]
+    b = (bucket[flat] << 32) | np.arange(len(flat))  # sorting numbers is several times as fast as sorting places
+    b.sort()
+    order = b & 0xFFFFFFFF
+    b >>= 32
+    r, w = np.repeat(np.arange(n, dtype=np.int32), count).take(order), weight.take(flat.take(order))
     begin = np.flatnonzero(np.append(True, b[1:] != b[:-1])) if len(b) else np.zeros(0, np.int64)
     d = np.diff(np.append(begin, len(b)))
     del order, flat, b
@@ -186,7 +200,7 @@ def cosines(bucket: np.ndarray, weight: np.ndarray, firsts: np.ndarray, rows: np
     del x
     place = np.arange(len(r), dtype=np.int32) - np.repeat(begin.astype(np.int32), d)  # every word is paired with those of its bucket before it
     entry = np.flatnonzero(~mine & (place > 0))
-    entry = entry[np.argsort(r[entry], kind="stable")]  # row by row, so that sums stay in cache
+    entry = entry[np.argsort(r[entry].astype(np.min_scalar_type(n)), kind="stable")]  # row by row, so that sums stay in cache; 16 bits are sorted by radix
     for block in np.split(entry, np.searchsorted(r[entry], np.arange(ROWS, n, ROWS))):
         total = np.cumsum(place[block])
         for lo in range(0, int(total[-1]) if len(total) else 0, PAIRS):
@@ -194,9 +208,13 @@ def cosines(bucket: np.ndarray, weight: np.ndarray, firsts: np.ndarray, rows: np
             if not len(some):
                 continue
             each, top, stop = place[some], int(r[some[0]]), int(r[some[-1]]) + 1
-            right = np.arange(each.sum()) + np.repeat((some - each) - (np.cumsum(each) - each), each)
-            at = np.repeat((r[some] - top) * np.int64(n), each) + r[right]
-            s[top:stop] += np.bincount(at, weights=np.repeat(w[some], each) * w[right], minlength=(stop - top) * n).reshape(-1, n)
+            right = np.repeat((some - each) - (np.cumsum(each) - each), each)
+            right += np.arange(len(right))
+            at = np.repeat((r[some] - top) * np.int64(n), each)
+            at += r.take(right)
+            product = np.repeat(w[some], each)
+            product *= w.take(right)
+            s[top:stop] += np.bincount(at, weights=product, minlength=(stop - top) * n).reshape(-1, n)
     for lo in range(0, n, ROWS):  # sums stand below the diagonal
         hi = min(n, lo + ROWS)
         s[lo:hi, hi:] = s[hi:, lo:hi].T
@@ -242,18 +260,29 @@ def neighbour_graph(points: DataFrame, n: int, idf: np.ndarray, tables: int = TA
     ids) are spread as well.
     """
     spark = points.sparkSession
-    once = points.groupBy("id").agg(F.first(F.struct("gaps", "counts", "keys")).alias("v")).select("id", "v.*")
+    once = points.groupBy("id").agg(F.first(F.struct("gaps", "counts")).alias("v")).select("id", "v.*")
     cells, parts = max(1, -(-n // cell)), max(1, -(-n // walk_texts))
     if cells > 1:
         share = int(min(1.0, 200 * cells / n) * 1_000_000) + 1
-        sample = points.select("keys").where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < share).toArrow().column("keys").combine_chunks().flatten().to_numpy(zero_copy_only=False).view(np.uint64).reshape(-1, tables)
+        weigh = spark.sparkContext.broadcast(idf)
+
+        def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            races = race_table(tables)
+            for batch in batches:
+                key = table_keys(batch, weigh.value, races)
+                yield pa.RecordBatch.from_arrays([lists(key.reshape(-1).view(np.int64), np.arange(len(key) + 1) * tables, pa.int64())], names=["keys"])
+
+        some = points.select("id", "gaps", "counts").where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < share)
+        some = some.repartition(1 + 200 * cells // 20_000)  # few tasks make a table of races for it
+        sample = some.mapInArrow(keys, "keys array<long>").toArrow().column("keys").combine_chunks().flatten().to_numpy(zero_copy_only=False).view(np.uint64).reshape(-1, tables)
     else:
         sample = np.zeros((0, tables), np.uint64)
     shared = spark.sparkContext.broadcast(([bounds(sample[:, t], cells) for t in range(tables)], bounds(sample[:, 0], parts), idf))
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        races = race_table(tables)
         for batch in batches:
-            key = batch.column(3).flatten().to_numpy(zero_copy_only=False).view(np.uint64).reshape(-1, tables)
+            key = table_keys(batch, shared.value[2], races)
             part = np.searchsorted(shared.value[1], key[:, 0], side="right")
             for t in range(tables):
                 at = np.searchsorted(shared.value[0][t], key[:, t], side="right")
@@ -328,9 +357,10 @@ def pack(docs: DataFrame, window: int = WINDOW_WORDS, k: int = NEIGHBOURS, table
     spark = docs.sparkSession
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("id"), text.alias("text"))
-    df, n = frequencies(rows)
+    points = cut(vectors(rows))
+    df, n = frequencies(points)
     idf = np.log((n + 1) / (df + 1))
-    points = cut(vectors(rows, idf, tables))
+    points = points.where("n_words > 0")
     near = neighbour_graph(points, n, idf, tables, k, leaf, cell, walk_texts=walk_texts)
 
     def paths(key: tuple, table: pa.Table) -> pa.Table:

@@ -4,6 +4,7 @@ import tracemalloc
 import numpy as np
 import pytest
 from llm.helpers import changed, frame, prose, seeded, words
+from pyspark.sql import functions as F
 
 from papyrine.llm import ann, packing, sharding
 
@@ -267,3 +268,21 @@ def test_walk_holds_neighbours_in_arrays():
             i = next((p for p in near[i] if p not in seen), None)
     assert path.tolist() == want
     assert most < 64 * 8 * n
+
+
+def test_packing_reads_texts_once(spark):
+    rng = seeded(56)
+    texts = [prose(rng, 40) for _ in range(60)] + [None, "", prose(rng, 40)]
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(text):
+        read.add(1)
+        return text
+
+    docs = frame(spark, texts).withColumn("text", F.udf(seen, "string")("text"))
+    found = packing.pack(docs, window=64, cell=20, leaf=10).collect()
+    assert sum(r.n_words for r in found) == 61 * 40 and read.value == len(texts)
+    rows = frame(spark, texts).selectExpr("doc_id", "doc_id AS id", "text")
+    df, n = packing.frequencies(packing.vectors(rows))
+    bags = [set(words(t)) for t in texts]
+    assert n == len(texts) and df.sum() == sum(map(len, bags)) and df.max() == max(sum(w in b for b in bags) for w in set().union(*bags))
