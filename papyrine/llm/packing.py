@@ -18,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -39,8 +40,8 @@ PAIRS = 250_000
 DENSE = 32
 #: Rows of a matrix of cosines that are summed, mirrored or looked through at once, so that no second matrix is held.
 ROWS = 128
-#: Rows of word counts that are unpacked at once.
-AT_ONCE = 256
+#: Bytes of packed gaps that are unpacked at once; a longer row is unpacked whole.
+GAP_BYTES = 1 << 17
 #: Texts whose paths one task walks (their ids and neighbours only); paths stay within such a part.
 WALK = 250_000
 RACES = 3
@@ -140,14 +141,23 @@ def buckets(gaps: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     return total - np.repeat(np.concatenate([[0], total])[firsts[:-1]], np.diff(firsts)), firsts
 
 
+def portions(gaps: pa.Array) -> Iterator[tuple[int, int]]:
+    """First row and number of rows of slices of about GAP_BYTES, so that memory doesn't follow the length of texts."""
+    at, lo = np.concatenate([[0], np.cumsum(pc.binary_length(gaps).to_numpy(zero_copy_only=False))]), 0
+    while lo < len(gaps):
+        hi = max(lo + 1, int(np.searchsorted(at, at[lo] + GAP_BYTES, side="right")) - 1)
+        yield lo, hi - lo
+        lo = hi
+
+
 def frequencies(rows: DataFrame) -> tuple[np.ndarray, int]:
     """In how many texts words of each hash bucket occur, and the number of texts, for rows as of vectors (or with texts)."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, n = np.zeros(BUCKETS, np.int64), 0
         for batch in batches:
-            for lo in range(0, batch.num_rows, AT_ONCE):
-                total += np.bincount(buckets(batch.column(0).slice(lo, AT_ONCE))[0], minlength=BUCKETS)
+            for lo, m in portions(batch.column(0)):
+                total += np.bincount(buckets(batch.column(0).slice(lo, m))[0], minlength=BUCKETS)
             n += batch.num_rows
         have = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(have, -1)), pa.array(np.append(total[have], n))], names=["bucket", "n"])
@@ -162,8 +172,8 @@ def frequencies(rows: DataFrame) -> tuple[np.ndarray, int]:
 def table_keys(batch: pa.RecordBatch, idf: np.ndarray, races: np.ndarray) -> np.ndarray:
     """order_keys of rows (id, gaps, counts)."""
     out = [np.zeros((0, len(races) // RACES), np.uint64)]
-    for lo in range(0, batch.num_rows, AT_ONCE):
-        ids, gaps, counts = batch.slice(lo, AT_ONCE).columns
+    for lo, m in portions(batch.column(1)):
+        ids, gaps, counts = batch.slice(lo, m).columns[:3]
         bucket, firsts = buckets(gaps)
         out.append(order_keys(ids.to_numpy(), bucket, ((unpacked(counts, 8)[0] + 1) * idf[bucket]).astype(np.float32), firsts, races))
     return np.concatenate(out)

@@ -2,6 +2,7 @@ import hashlib
 import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm.helpers import changed, frame, prose, seeded, words
 from pyspark.sql import functions as F
@@ -286,3 +287,10 @@ def test_packing_reads_texts_once(spark):
     df, n = packing.frequencies(packing.vectors(rows))
     bags = [set(words(t)) for t in texts]
     assert n == len(texts) and df.sum() == sum(map(len, bags)) and df.max() == max(sum(w in b for b in bags) for w in set().union(*bags))
+
+
+def test_word_counts_are_unpacked_by_bytes(monkeypatch):
+    monkeypatch.setattr(packing, "GAP_BYTES", 100)
+    sizes = [0, 40, 50, 300, 0, 10, 90, 90, 0]
+    assert list(packing.portions(pa.array([b"x" * n for n in sizes], pa.binary()))) == [(0, 3), (3, 1), (4, 3), (7, 2)]  # the 300 bytes alone
+    assert list(packing.portions(pa.array([], pa.binary()))) == []
