@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 from papyrine import plans, storage
 from papyrine.functions import scalars as S
 from papyrine.operators import mappers
-from papyrine.operators.markup import first_text
 from papyrine.schema import as_document, validate
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -142,10 +141,7 @@ def patent_id_from_href(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""SELECT page_id, trim(replace(replace(replace(replace(regexp_extract(html, '<h1>([^<]*)', 1), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&')) AS title FROM pages""")
 def html_title(spark: SparkSession, sf_dir: str) -> DataFrame:
-    import pandas as pd
-
-    h1 = F.pandas_udf(lambda s: pd.Series([first_text(x, "h1") for x in s]), "string")
-    return table(spark, sf_dir, "pages").select("page_id", h1("html").alias("title"))
+    return table(spark, sf_dir, "pages").select("page_id", S.html_title(F.col("html")).alias("title"))
 
 
 @query("""SELECT 'p' || p_partkey AS title, trim(p_name) AS abstract, 'EP' || p_partkey || 'A1' AS patent_number, p_brand AS applicant, CASE WHEN p_size <= 29 THEN '2024-02-' || lpad(p_size::VARCHAR, 2, '0') END AS publication_date FROM part""")

@@ -28,6 +28,19 @@ def test_query(spark, name):
     assert plain(found.collect(), found.columns) == plain(wanted.fetchall(), names)
 
 
+def test_html_title_of_odd_pages(spark, tmp_path):
+    heads = [
+        "<h1>a&amp;&amp b&amp</h1>", "<h1>a&lt", "<h1>&amp;lt;&quot;&gt;&#39;&nbsp;&eacute;</h1>", "<h1 id='x'>a</h1><h1>b</h1>", "<H1>a</H1>", "<h1>a<b>b</b></h1>", "<h1></h1><h1>a</h1>", "<h1> \u00a0\u3000a  b\u2003 </h1>",
+        "<h1>\ta \n</h1>", "<h1>a \r\n", "<!-- <h1>a</h1> --><h1>b</h1>", "<h1>a\nb", "<h1>", "<p>a</p>", "", None,
+    ]
+    spark.createDataFrame(list(enumerate(heads)), "page_id long, html string").coalesce(1).write.parquet(str(tmp_path / "pages.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    wanted = sorted(con.execute(queries.ORACLE["html_title"]).fetchall())
+    assert sorted(tuple(r) for r in queries.html_title(spark, str(tmp_path)).collect()) == wanted
+    assert wanted[0][1] == "a&&amp b&amp" and wanted[-1][1] is None
+
+
 def test_entry(spark):
     import __spark_entry__ as e
 
