@@ -58,6 +58,16 @@ def union(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """df's rows in four partitions a core, by a hash of all columns, for a step whose rows cost much more than their bytes.
+
+    A scan has no more tasks than its files have row groups, and none the less
+    where its columns are small: a million keys that a query makes payloads of
+    may lie in one.  Spread them before, not the payloads.
+    """
+    return df.repartition(4 * df.sparkSession.sparkContext.defaultParallelism, *df.columns)
+
+
 def cap(df: DataFrame, n: int, order: list[Column], by: str = "source") -> DataFrame:
     """The first n rows of each source; Spark keeps n a partition and group before it shuffles."""
     return df.withColumn("_at", F.row_number().over(Window.partitionBy(by).orderBy(*order))).where(F.col("_at") <= n).drop("_at")

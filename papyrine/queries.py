@@ -144,6 +144,11 @@ def html_title(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", S.html_title(F.col("html")).alias("title"))
 
 
+def _parts_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What HTML pages are made of; parsing them is Python's work, so all cores have a share."""
+    return plans.spread(table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_size"))
+
+
 @query("""SELECT 'p' || p_partkey AS title, trim(p_name) AS abstract, 'EP' || p_partkey || 'A1' AS patent_number, p_brand AS applicant, CASE WHEN p_size <= 29 THEN '2024-02-' || lpad(p_size::VARCHAR, 2, '0') END AS publication_date FROM part""")
 def xml_mapper(spark: SparkSession, sf_dir: str) -> DataFrame:
     esc = lambda c: F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
@@ -163,7 +168,7 @@ def html_mapper(spark: SparkSession, sf_dir: str) -> DataFrame:
     i = F.col("p_partkey").cast("string")
     snippet = F.when(F.pmod("p_size", F.lit(2)) == 0, F.concat(F.lit('<p class="abstract"> '), F.trim("p_name"), F.lit(" </p>"))).otherwise("")
     page = F.concat(F.lit('<html><div><article class="x result"><h3>q'), i, F.lit(" <i> "), F.trim("p_brand"), F.lit('</i></h3><a href="/other">no</a><a href="/patent/EP'), i, F.lit('A1/en">link</a>'), snippet, F.lit("</article></div><article>none</article></html>"))
-    docs = mappers.search_html(table(spark, sf_dir, "part").select(page.alias("payload")))
+    docs = mappers.search_html(_parts_spread(spark, sf_dir).select(page.alias("payload")))
     return docs.select("title", "abstract", F.col("identifiers")[0]["value"].alias("patent_number"), "full_text_url")
 
 

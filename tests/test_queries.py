@@ -3,6 +3,7 @@
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from papyrine import queries
 
@@ -41,6 +42,20 @@ def test_html_title_of_odd_pages(spark, tmp_path):
     assert wanted[0][1] == "a&&amp b&amp" and wanted[-1][1] is None
 
 
+@pytest.mark.parametrize("name", ["html_mapper"])
+def test_parsing_is_spread(spark, tmp_path, name):
+    """However a table lies: one row group is one task of a scan."""
+    spark.read.parquet(f"{DATA}/part.parquet").crossJoin(spark.range(5)).withColumn("p_partkey", F.col("p_partkey") * 5 + F.col("id")).drop("id").coalesce(1).write.parquet(str(tmp_path / "part.parquet"))
+    found = queries.QUERIES[name](spark, str(tmp_path))
+    n = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(n) >= 4 and max(n) <= sum(n) / 4
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW part AS SELECT * FROM '{tmp_path}/part.parquet/*.parquet'")
+    wanted = con.execute(queries.ORACLE[name])
+    names = [d[0] for d in wanted.description]
+    assert plain(found.collect(), found.columns) == plain(wanted.fetchall(), names)
+
+
 def test_entry(spark):
     import __spark_entry__ as e
 
