@@ -145,7 +145,7 @@ def html_title(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _parts_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What HTML pages are made of; parsing them is Python's work, so all cores have a share."""
+    """What XML and HTML payloads are made of; parsing them is Python's work, so all cores have a share."""
     return plans.spread(table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_size"))
 
 
@@ -159,7 +159,7 @@ def xml_mapper(spark: SparkSession, sf_dir: str) -> DataFrame:
         "</bibliographic-data><abstract lang='en'><p>%s</p><p>more</p></abstract></exchange-document></exchange-documents></o:search-result></o:world-patent-data>",
         F.col("p_partkey"), F.col("p_size"), F.col("p_partkey"), esc(F.col("p_brand")), esc(F.trim("p_name")),
     )
-    docs = mappers.exchange_xml(table(spark, sf_dir, "part").select(body.alias("payload")))
+    docs = mappers.exchange_xml(_parts_spread(spark, sf_dir).select(body.alias("payload")))
     return docs.select("title", "abstract", F.col("identifiers")[0]["value"].alias("patent_number"), F.col("authors")[0]["name"].alias("applicant"), F.col("publication_date").cast("string").alias("publication_date"))
 
 

@@ -42,7 +42,7 @@ def test_html_title_of_odd_pages(spark, tmp_path):
     assert wanted[0][1] == "a&&amp b&amp" and wanted[-1][1] is None
 
 
-@pytest.mark.parametrize("name", ["html_mapper"])
+@pytest.mark.parametrize("name", ["html_mapper", "xml_mapper"])
 def test_parsing_is_spread(spark, tmp_path, name):
     """However a table lies: one row group is one task of a scan."""
     spark.read.parquet(f"{DATA}/part.parquet").crossJoin(spark.range(5)).withColumn("p_partkey", F.col("p_partkey") * 5 + F.col("id")).drop("id").coalesce(1).write.parquet(str(tmp_path / "part.parquet"))
